@@ -1,0 +1,19 @@
+"""Choosing how a side is joined."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a control frame for broadcast once its row count is known to be small.
+
+    The count stops at `max_rows + 1`. A larger frame is returned as it is and is
+    joined by shuffle, where adaptive execution splits skewed partitions.
+    """
+    if frame.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(frame)
+    return frame
