@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Cell count and symbols of a progress bar.
@@ -61,26 +63,48 @@ def marker_cell(ratio: Column) -> Column:
     return F.when(ratio != 0, F.floor(ratio * F.lit(WIDTH)).cast("int"))
 
 
-def progress_bar(filled: Column, suspend_cell: Column, stop_cell: Column) -> Column:
-    """Filled and empty cells with both threshold markers.
+def one_if(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0)
+
+
+def plain_bar(filled: Column) -> Column:
+    """Filled cells, then empty ones up to WIDTH; longer than WIDTH above the quota."""
+    return F.rpad(F.repeat(F.lit(FILLED), filled), F.greatest(filled, F.lit(WIDTH)), F.lit(EMPTY))
+
+
+def place_mark(bar: Column, cells: Column, cell: Column, mark: str, shift: Column | int = 0) -> Column:
+    """The bar with a marker in one cell, or behind the last of its `cells`; a cell further out
+    shows none. `shift` is the number of code points before the cell beyond one per cell."""
+    return (
+        F.when(cell == cells, F.concat(bar, F.lit(mark)))
+        .when(cell < cells, F.overlay(bar, F.lit(mark), cell + 1 + shift, F.lit(1)))
+        .otherwise(bar)
+    )
+
 
-    A bar longer than WIDTH shows use above the quota. A marker replaces its
-    cell or extends the bar by one; the stop marker wins a shared cell. The
-    suspend marker is two code points long, so a stop marker behind it moves by one.
+def with_bars(rows: DataFrame, bars: Mapping[str, str], suspend_cell: str, stop_cell: str) -> DataFrame:
+    """Adds progress bars: `bars` names the column of filled cells for each new bar.
+
+    The suspend marker is placed first and the stop marker takes its cell when both
+    fall together, so a suspend marker in the same cell is not placed at all. It is two
+    code points long, so a stop marker behind it moves by one. Each step is its own
+    projection: nested in one expression, the steps would repeat each other.
     """
-    length = F.greatest(filled, F.lit(WIDTH))
-    plain = F.rpad(F.repeat(F.lit(FILLED), filled), length, F.lit(EMPTY))
-    shown = suspend_cell.isNotNull() & (suspend_cell <= length) & ~suspend_cell.eqNullSafe(stop_cell)
-    extended = shown & (suspend_cell == length)
-    first = (
-        F.when(extended, F.concat(plain, F.lit(SUSPEND_MARK)))
-        .when(shown, F.overlay(plain, F.lit(SUSPEND_MARK), suspend_cell + 1, F.lit(1)))
-        .otherwise(plain)
+    suspend = F.when(~F.col(suspend_cell).eqNullSafe(F.col(stop_cell)), F.col(suspend_cell))
+    stop = F.col(stop_cell)
+    steps = rows.withColumns(
+        {f"_{bar}_cells": F.greatest(F.col(filled), F.lit(WIDTH)) for bar, filled in bars.items()}
+        | {f"_{bar}": plain_bar(F.col(filled)) for bar, filled in bars.items()}
+        | {"_suspend": suspend}
     )
-    cells = length + F.when(extended, 1).otherwise(0)
-    shift = F.when(shown & (suspend_cell < stop_cell), 1).otherwise(0)
-    return (
-        F.when(stop_cell == cells, F.concat(first, F.lit(STOP_MARK)))
-        .when(stop_cell < cells, F.overlay(first, F.lit(STOP_MARK), stop_cell + 1 + shift, F.lit(1)))
-        .otherwise(first)
+    steps = steps.withColumns(
+        {f"_{bar}": place_mark(F.col(f"_{bar}"), F.col(f"_{bar}_cells"), F.col("_suspend"), SUSPEND_MARK) for bar in bars}
+        | {f"_{bar}_shift": one_if((F.col("_suspend") <= F.col(f"_{bar}_cells")) & (F.col("_suspend") < stop)) for bar in bars}
+        | {f"_{bar}_cells": F.col(f"_{bar}_cells") + one_if(F.col("_suspend") == F.col(f"_{bar}_cells")) for bar in bars}
     )
+    return steps.withColumns(
+        {
+            bar: place_mark(F.col(f"_{bar}"), F.col(f"_{bar}_cells"), stop, STOP_MARK, F.col(f"_{bar}_shift"))
+            for bar in bars
+        }
+    ).drop("_suspend", *[f"_{bar}{end}" for bar in bars for end in ("", "_cells", "_shift")])

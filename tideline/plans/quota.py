@@ -33,16 +33,8 @@ def quota_figures(monitors: DataFrame, as_of: datetime) -> DataFrame:
         }
     )
 
-    def bar(filled: str) -> Column:
-        return q.progress_bar(F.col(filled), F.col("suspend_cell"), F.col("stop_cell"))
-
-    return cells.withColumns(
-        {
-            "time_bar": bar("time_cells"),
-            "credit_bar": bar("credit_cells"),
-            "over_quota": F.col("used_credits") > F.col("credit_quota"),
-        }
-    )
+    barred = q.with_bars(cells, {"time_bar": "time_cells", "credit_bar": "credit_cells"}, "suspend_cell", "stop_cell")
+    return barred.withColumn("over_quota", F.col("used_credits") > F.col("credit_quota"))
 
 
 def start_text(start: Column) -> Column:

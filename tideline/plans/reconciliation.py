@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.context import RunContext
+from tideline.context import RunContext, ensure_checkpoint_dir
 from tideline.functions.arrays import append_when, no_strings, or_empty, symmetric_difference
 from tideline.functions.names import BLOCKED_PATTERNS, matches_any
 from tideline.functions.texts import NOTICE_LIMIT
@@ -235,6 +235,27 @@ def with_mismatches(comparison: DataFrame, mismatches: DataFrame) -> DataFrame:
     return update_from(comparison, mismatches, COMPARISON_KEY, values)
 
 
+def reconcile(
+    mrg_columns: DataFrame,
+    mrg_counts: DataFrame,
+    replica: DataFrame,
+    listed: DataFrame,
+    merged_rows: DataFrame,
+    replica_rows: DataFrame,
+    ctx: RunContext,
+    schema_name: str,
+) -> DataFrame:
+    """The finished table comparison: tables, then records of the comparable ones, then reasons.
+
+    The comparison, one row per table, decides which records are read and takes their
+    counts, so it is checkpointed between the two rather than worked out again for each.
+    """
+    ensure_checkpoint_dir(mrg_counts.sparkSession)
+    comparison = table_comparison(mrg_columns, mrg_counts, replica, listed, ctx, schema_name).checkpoint()
+    records = record_comparison(merged_rows, replica_rows, ctx, schema_name, comparison_candidates(comparison))
+    return with_mismatches(comparison, record_mismatch_counts(records))
+
+
 def variance_report(comparison: DataFrame) -> DataFrame:
     """Tables with a reason other than an empty replica, which hides a table from the report."""
     reasons = or_empty(F.col("exclusion_reason"))

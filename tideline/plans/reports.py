@@ -17,19 +17,16 @@ def notices(
 ) -> DataFrame:
     """Per group the number of entries and their blocks joined in order, cut to `limit` characters.
 
+    `order` should be a total order, so that the text does not depend on the run.
     `shortest` is a lower bound on the length of a block, so later blocks than the first
     `keep` cannot reach the text and only those are gathered: Spark keeps the leading rows
     of each map task and a large group never meets in one place.
     """
     keep = (limit + len(SEPARATOR)) // (shortest + len(SEPARATOR)) + 1
-    window = Window.partitionBy(group).orderBy(*order, "_block")
-    leading = (
-        entries.select(group, *order, block.alias("_block"))
-        .withColumn("_n", F.row_number().over(window))
-        .where(F.col("_n") <= keep)
-    )
+    window = Window.partitionBy(group).orderBy(*order)
+    leading = entries.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= keep)
     texts = leading.groupBy(group).agg(
-        F.array_sort(F.collect_list(F.struct("_n", F.col("_block").alias("b")))).alias("_blocks")
+        F.array_sort(F.collect_list(F.struct("_n", block.alias("b")))).alias("_blocks")
     ).select(group, cut(F.array_join(F.col("_blocks.b"), SEPARATOR), limit).alias("notice"))
     counts = entries.groupBy(group).agg(F.count(F.lit(1)).alias("entry_count"))
     return counts.join(texts, group)
@@ -52,7 +49,7 @@ def failure_report(errors: DataFrame, group: str = "core_center") -> DataFrame:
         F.lit("\n\n" + RULE),
     )
     # The labels and the rule alone have this many characters.
-    return notices(errors, group, ["table_name", "procedure_name"], block, shortest=98)
+    return notices(errors, group, ["table_name", "procedure_name", "error_message"], block, shortest=98)
 
 
 def run_state(plan_rows: int, s3_on: bool, mrg_on: bool, failures: int) -> str:

@@ -303,6 +303,16 @@ SELECT *, CASE WHEN operation = 'D' THEN 'Y' ELSE 'N' END AS gw_delete_flag, CAS
 FROM ({_latest('fx_line_changes', 'l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC')})
 """
 
+_SQL["merge_load_lines_second_batch"] = f"""
+WITH firsts AS (SELECT id, bool_or(operation = 'U') AS early FROM fx_line_changes GROUP BY id)
+SELECT l.*, CASE WHEN operation = 'D' THEN 'Y' ELSE 'N' END AS gw_delete_flag,
+       CAST(CASE WHEN operation = 'U' THEN 4566 ELSE 4567 END AS BIGINT) AS batchid,
+       CASE WHEN early THEN {EARLIER_TS} ELSE {RUN_TS} END AS row_insert_tms,
+       CASE WHEN operation = 'U' THEN {EARLIER_TS} ELSE {RUN_TS} END AS row_update_tms
+FROM ({_latest('fx_line_changes', 'l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC')}) l
+JOIN firsts USING (id)
+"""
+
 # Names. The patterns as regular expressions over lower-case names.
 
 BLOCKED = (

@@ -296,6 +296,16 @@ def merge_load_lines(x: Inputs) -> DataFrame:
     return layers.merge_load(layers.empty_merged(changes), changes, CTX, order=order)
 
 
+@query
+def merge_load_lines_second_batch(x: Inputs) -> DataFrame:
+    """Two batches that interleave in time: the second holds older and newer changes of known keys."""
+    order = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
+    changes = x["fx_line_changes"]
+    in_first = F.col("operation") == "U"
+    first = layers.merge_load(layers.empty_merged(changes), changes.where(in_first), EARLIER, order=order)
+    return layers.merge_load(first, changes.where(~in_first), CTX, order=order)
+
+
 # Names
 
 
@@ -423,15 +433,10 @@ def record_mismatch_counts(x: Inputs) -> DataFrame:
 
 
 def _final(x: Inputs) -> DataFrame:
-    comparison = _comparison(x)
-    records = reconciliation.record_comparison(
-        _side(x, "fx_table_rows", "mrg"),
-        _side(x, "fx_table_rows", "rep"),
-        CTX,
-        SCHEMA,
-        reconciliation.comparison_candidates(comparison),
-    )
-    return reconciliation.with_mismatches(comparison, reconciliation.record_mismatch_counts(records))
+    return reconciliation.reconcile(
+        _mrg_columns(x), _mrg_counts(x), _replica(x), x["fx_listed"],
+        _side(x, "fx_table_rows", "mrg"), _side(x, "fx_table_rows", "rep"), CTX, SCHEMA,
+    )
 
 
 @query
