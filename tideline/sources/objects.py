@@ -33,12 +33,14 @@ def object_listing(spark: SparkSession, root: str, pattern: str = "*" + DATA_SUF
     )
 
 
-def _list_children(batches: Iterator[pd.DataFrame], want: pafs.FileType) -> Iterator[pd.DataFrame]:
+def _children(batches: Iterator[pd.DataFrame], want: pafs.FileType) -> Iterator[pd.DataFrame]:
+    """Files or folders directly below each folder of a task's share."""
     for batch in batches:
         for uri in batch["folder"]:
             store, path = pafs.FileSystem.from_uri(uri)
             scheme = uri[: len(uri) - len(path)] if uri.endswith(path) else ""
-            found = [i for i in store.get_file_info(pafs.FileSelector(path)) if i.type == want]
+            listed = store.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+            found = [i for i in listed if i.type == want]
             yield pd.DataFrame(
                 {
                     "object_key": [scheme + i.path for i in found],
@@ -48,24 +50,25 @@ def _list_children(batches: Iterator[pd.DataFrame], want: pafs.FileType) -> Iter
             )
 
 
-def object_listing_by_folder(folders: DataFrame, depth: int = 2) -> DataFrame:
-    """Data files below many table folders, listed by the executors.
+def _listed(folders: DataFrame, want: pafs.FileType) -> DataFrame:
+    return folders.repartition(F.col("folder")).mapInPandas(lambda batches: _children(batches, want), LISTING_SCHEMA)
+
 
-    `folders` has one URI per row in column `folder`. Each of the `depth` levels
-    below it (schema id, timestamp) is opened by its own round of tasks and spread
-    again, so one table with most of the objects does not sit in one task.
+def subfolder_listing(folders: DataFrame, depth: int = 2) -> DataFrame:
+    """Folders `depth` levels below the given ones (URIs in column `folder`), listed by the executors.
+
+    Every level is spread over the tasks again, so one table with most of the folders does
+    not sit in one task.
     """
     level = folders.select("folder")
     for _ in range(depth):
-        level = (
-            level.repartition(F.col("folder"))
-            .mapInPandas(lambda b: _list_children(b, pafs.FileType.Directory), LISTING_SCHEMA)
-            .select(F.col("object_key").alias("folder"))
-        )
-    files = level.repartition(F.col("folder")).mapInPandas(
-        lambda b: _list_children(b, pafs.FileType.File), LISTING_SCHEMA
-    )
-    return data_files(files)
+        level = _listed(level, pafs.FileType.Directory).select(F.col("object_key").alias("folder"))
+    return level
+
+
+def object_listing_by_folder(folders: DataFrame, depth: int = 2) -> DataFrame:
+    """Data files in the schema id and timestamp folders below many table folders."""
+    return data_files(_listed(subfolder_listing(folders, depth), pafs.FileType.File))
 
 
 def data_files(listing: DataFrame) -> DataFrame:
