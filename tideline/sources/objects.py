@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,25 +33,25 @@ def object_listing(spark: SparkSession, root: str, pattern: str = "*" + DATA_SUF
     )
 
 
-def _children(batches: Iterator[pd.DataFrame], want: pafs.FileType) -> Iterator[pd.DataFrame]:
+def _children(batches: Iterator[pa.RecordBatch], want: pafs.FileType) -> Iterator[pa.RecordBatch]:
     """Files or folders directly below each folder of a task's share."""
     for batch in batches:
-        for uri in batch["folder"]:
+        for uri in batch.column("folder").to_pylist():
             store, path = pafs.FileSystem.from_uri(uri)
             scheme = uri[: len(uri) - len(path)] if uri.endswith(path) else ""
             listed = store.get_file_info(pafs.FileSelector(path, allow_not_found=True))
             found = [i for i in listed if i.type == want]
-            yield pd.DataFrame(
+            yield pa.record_batch(
                 {
-                    "object_key": [scheme + i.path for i in found],
-                    "size_bytes": [i.size or 0 for i in found],
-                    "last_modified": pd.to_datetime([i.mtime for i in found], utc=True),
+                    "object_key": pa.array([scheme + i.path for i in found], pa.string()),
+                    "size_bytes": pa.array([i.size or 0 for i in found], pa.int64()),
+                    "last_modified": pa.array([i.mtime for i in found], pa.timestamp("us", "UTC")),
                 }
             )
 
 
 def _listed(folders: DataFrame, want: pafs.FileType) -> DataFrame:
-    return folders.repartition(F.col("folder")).mapInPandas(lambda batches: _children(batches, want), LISTING_SCHEMA)
+    return folders.repartition(F.col("folder")).mapInArrow(lambda batches: _children(batches, want), LISTING_SCHEMA)
 
 
 def subfolder_listing(folders: DataFrame, depth: int = 2) -> DataFrame:
