@@ -129,6 +129,15 @@ def test_restart_after_a_stage_failure_takes_in_both_batches(source, center, mon
     assert merged(center, "pc_a") == [(1, 1, 0, "N"), (2, 2, 0, "N")]
 
 
+def test_more_folders_than_the_driver_takes(source, center, monkeypatch):
+    monkeypatch.setattr(incremental, "MAX_FOLDERS", 1)
+    source.drop("pc_a", "s1", 20240101, [(1, 1, "I", 0)], V1)
+    source.drop("pc_a", "s2", 20240102, [(2, 2, "I", 0, "x")], V2)
+    source.publish()
+    assert run_incremental_load(center, ctx(1))["state"] == "success"
+    assert merged(center, "pc_a") == [(1, 1, 0, "N"), (2, 2, 0, "N")]
+
+
 def test_initial_mode_starts_anew(source, center):
     source.drop("pc_a", "s1", 20240101, [(1, 1, "I", 0)], V1)
     source.publish()

@@ -17,7 +17,7 @@ from tideline.operators.upsert import action_counts, src, tgt, truncate, update_
 from tideline.plans import layers, load_plan, outbox
 from tideline.sources.manifest import read_manifest
 from tideline.sources.objects import archive_candidates, object_listing, object_listing_by_folder, read_changes
-from tideline.sources.replica import catalog_tables, column_metadata
+from tideline.sources.replica import catalog_tables, column_metadata, read_tagged, union_tagged
 from tideline.sources.versions import VersionedTable
 from validation.queries import QUERIES
 
@@ -217,6 +217,13 @@ def test_pages_number_every_row_once_in_order(spark, count, page, slices):
     )
 
 
+def test_pages_of_one_repeated_value_are_spread(spark):
+    frame = spark.range(1000).select(F.lit(7).cast("bigint").alias("identity"), F.col("id").alias("x"))
+    found = page_rows(frame, "identity", 100, 4)
+    assert sorted(r["position"] for r in found.collect()) == list(range(1000))
+    assert max(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()) < 600
+
+
 OUTBOX = (
     "identity bigint, name string, submission_status string, submission_attempt_count int, max_submission_attempt_count int"
 )
@@ -283,6 +290,26 @@ def test_read_changes_prunes_files_outside_the_window(spark, drop):
     assert sum(f.get().value() for f in files if f.isDefined()) <= len(list(Path(drop, "pc_a/s1/5").glob("*.snappy.parquet")))
 
 
+def test_read_changes_from_named_folders(spark, drop):
+    assert read_changes(spark, drop, "pc_a", "s1", 3, 5, ["5"]).count() == 5
+    assert read_changes(spark, drop, "pc_a", "s1", 3, 5, ["3", "5"]).count() == 5
+
+
+def test_tables_in_one_scan(spark, drop):
+    schema = spark.createDataFrame([], "id bigint").schema
+    found = read_tagged(spark, drop, ["pc_a", "pc_b"], schema)
+    assert {r["table_name"]: r["count"] for r in found.groupBy("table_name").count().collect()} == {"pc_a": 14, "pc_b": 4}
+    assert plan_of(found).split("\n\n\n")[0].count("Scan parquet") == 1
+    many = union_tagged({f"t{i}": spark.range(i) for i in range(20)})
+    assert many.groupBy("table_name").count().count() == 19
+
+
+def test_misplaced_data_file_is_an_error(spark):
+    listing = spark.createDataFrame([("f.snappy.parquet", 1, datetime(2024, 1, 1))], "object_key string, size_bytes bigint, last_modified timestamp")
+    with pytest.raises(Exception, match="outside a table folder"):
+        inventory.file_rollup(listing, CTX, "source", "pc").collect()
+
+
 def test_inventory_job_twice(spark, drop, tmp_path):
     counts = VersionedTable(spark, str(tmp_path / "counts"))
     first = inventory_job(spark, drop, counts, "source", "pc", CTX)

@@ -10,10 +10,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tideline.context import RunContext, ensure_checkpoint_dir
 from tideline.functions.names import TENANT_PATTERNS
-from tideline.operators.inventory import file_rollup, upsert_file_counts
+from tideline.operators.inventory import FILE_COUNTS, file_rollup, upsert_file_counts
 from tideline.operators.upsert import action_counts
 from tideline.plans import outbox, quota, reconciliation
 from tideline.sources.objects import archive_candidates, object_listing_by_folder, subfolder_listing
@@ -27,9 +28,9 @@ def inventory_job(
     """List the tables below a root, roll the files up by folder and merge the figures."""
     ensure_checkpoint_dir(spark)
     tables = subfolder_listing(spark.createDataFrame([(root,)], "folder string"), depth=1)
-    rollup = file_rollup(object_listing_by_folder(tables), ctx, system, core_center)
-    rollup = rollup.withColumn("max_last_modified", F.col("max_last_modified").cast("timestamp"))
-    target = file_counts.read() if file_counts.latest() else rollup.limit(0)
+    schema = StructType.fromDDL(FILE_COUNTS)
+    rollup = file_rollup(object_listing_by_folder(tables), ctx, system, core_center).to(schema)
+    target = file_counts.read() if file_counts.latest() else spark.createDataFrame([], schema)
     merged = upsert_file_counts(target, rollup, with_action=True).checkpoint()
     file_counts.write(merged.drop("_action"))
     return action_counts(merged).first().asDict()

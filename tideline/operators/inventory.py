@@ -12,6 +12,11 @@ from tideline.sources.objects import data_files
 
 FOLDER = ["table_name", "cda_schema_id", "cda_timestamp"]
 FILE_COUNT_KEY = ["system", "core_center", *FOLDER]
+FILE_COUNTS = (
+    "system string, core_center string, table_name string, cda_schema_id string, cda_timestamp string,"
+    " total_bytes bigint, file_count bigint, max_last_modified timestamp,"
+    " row_insert_tms timestamp_ntz, row_update_tms timestamp_ntz"
+)
 
 
 def with_path_parts(listing: DataFrame) -> DataFrame:
@@ -24,9 +29,14 @@ def folders(listing: DataFrame) -> DataFrame:
 
 
 def file_rollup(listing: DataFrame, ctx: RunContext, system: str, core_center: str) -> DataFrame:
-    """Bytes, files and newest change per folder, in the layout of the file-count table."""
+    """Bytes, files and newest change per folder, in the layout of the file-count table.
+
+    A data file outside a table, schema id and timestamp folder is an error.
+    """
+    placed = with_path_parts(data_files(listing))
+    misplaced = F.raise_error(F.concat(F.lit("data file outside a table folder: "), F.col("object_key"))).cast("string")
     return (
-        with_path_parts(data_files(listing))
+        placed.withColumn("table_name", F.coalesce("table_name", misplaced))
         .groupBy(*FOLDER)
         .agg(
             F.sum("size_bytes").alias("total_bytes"),

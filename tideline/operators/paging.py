@@ -14,8 +14,9 @@ def number_rows(frame: DataFrame, order: str, slices: int | None = None) -> Data
     """A snapshot of the frame with the 0-based `position` of each row in `order`.
 
     Rows are range-partitioned and sorted inside each slice, with no global sort into
-    one task. The slices are checkpointed: offsets and rows must come from the same
-    partitioning, and callers that change the source later keep a stable snapshot.
+    one task; a running number as second key lets many rows of one `order` value fall
+    into several slices. The slices are checkpointed: offsets and rows must come from the
+    same partitioning, and callers that change the source later keep a stable snapshot.
     The driver sees one count per slice.
     """
     spark = frame.sparkSession
@@ -23,8 +24,10 @@ def number_rows(frame: DataFrame, order: str, slices: int | None = None) -> Data
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     sliced = (
-        frame.repartitionByRange(slices, order)
-        .sortWithinPartitions(order)
+        frame.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(slices, order, "_tie")
+        .sortWithinPartitions(order, "_tie")
+        .drop("_tie")
         .withColumns({"_slice": F.spark_partition_id(), "_row": local})
         .checkpoint(eager=True)
     )

@@ -44,6 +44,7 @@ PROGRESS = (
     "table_name string, raw_load bigint, raw_batch bigint, raw_failed array<bigint>, raw_rows bigint, raw_folder bigint,"
     " stg_load bigint, stg_batch bigint, stg_failed array<bigint>, mrg_batch bigint, mrg_version bigint"
 )
+MAX_FOLDERS = 100_000
 COUNTS = "table_name string, layer string, row_count bigint, cda_folder string"
 
 
@@ -78,7 +79,7 @@ class TableRun:
 
     plan: Row
     progress: dict
-    schema_ids: list[str] = field(default_factory=list)
+    folders: dict[str, list[str] | None] = field(default_factory=dict)
     counts: list[tuple] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
     done: set[str] = field(default_factory=set)
@@ -109,8 +110,8 @@ def load_raw(center: Center, table: TableRun, ctx: RunContext) -> None:
     if table.is_initial("raw") or progress["raw_load"] is None:
         progress.update(raw_load=ctx.batch_id, raw_rows=0, raw_folder=None, raw_failed=None)
     low, high = progress["raw_folder"], table.plan["src_cda_folder"]
-    for schema_id in table.schema_ids:
-        changes = read_changes(center.spark, center.source_root, table.name, schema_id, low, high)
+    for schema_id, names in table.folders.items():
+        changes = read_changes(center.spark, center.source_root, table.name, schema_id, low, high, names)
         path = f"{center.root}/raw/{table.name}/load={progress['raw_load']}/schema_id={schema_id}/batch={ctx.batch_id}"
         layers.raw_load(changes, ctx).write.mode("overwrite").parquet(path)
         rows, newest = center.spark.read.parquet(path).agg(F.count(F.lit(1)), F.max("cda_folder")).first()
@@ -217,11 +218,12 @@ def _write_status(center: Center, rows: list[tuple], ctx: RunContext) -> None:
         status.write(layers.apply_outcomes(status.read(), outcomes, ctx))
 
 
-def raw_windows(center: Center, plan: DataFrame, progress: DataFrame) -> DataFrame:
-    """Schema ids with folders to load, per planned table: above what the raw layer holds, up to the manifest.
+def raw_windows(center: Center, plan: DataFrame, progress: DataFrame) -> dict[str, dict[str, list[str] | None]]:
+    """Folders to load per planned table and schema id: above what the raw layer holds, up to the manifest.
 
     The window starts at the raw layer's newest folder rather than at the loaded manifest, which
-    has advanced already when a failed raw load is repeated.
+    has advanced already when a failed raw load is repeated. Up to MAX_FOLDERS names come to the
+    driver; beyond that only the schema ids do, and the scans find the folders themselves.
     """
     roots = plan.where("load_raw").select(F.concat(F.lit(f"{center.source_root}/"), "table_name").alias("folder"))
     parts = F.split("folder", "/")
@@ -237,9 +239,17 @@ def raw_windows(center: Center, plan: DataFrame, progress: DataFrame) -> DataFra
         F.when(F.col("raw_status") != "initial", F.col("raw_folder")).alias("dest_cda_folder"),
         "src_cda_folder",
     )
-    return load_plan.folder_window(found, bounds).groupBy("table_name").agg(
-        F.array_sort(F.collect_set("cda_schema_id")).alias("schema_ids")
-    )
+    window = load_plan.folder_window(found, bounds).checkpoint()
+    few = window.limit(MAX_FOLDERS + 1).count() <= MAX_FOLDERS
+    names = window if few else window.select("table_name", "cda_schema_id").distinct().withColumn("cda_timestamp", F.lit(None))
+    result: dict[str, dict[str, list[str] | None]] = {}
+    for row in names.orderBy("table_name", "cda_schema_id", "cda_timestamp").collect():
+        by_id = result.setdefault(row["table_name"], {})
+        if row["cda_timestamp"] is None:
+            by_id[row["cda_schema_id"]] = None
+        else:
+            by_id.setdefault(row["cda_schema_id"], []).append(row["cda_timestamp"])
+    return result
 
 
 def register(center: Center, plan: DataFrame, new_manifest: DataFrame, ctx: RunContext) -> None:
@@ -284,12 +294,12 @@ def run_incremental_load(center: Center, ctx: RunContext, *, is_initial: bool =
 
     names = StructType.fromDDL(PROGRESS).names
     known = {r["table_name"]: r.asDict() for r in progress.read().join(plan, "table_name", "left_semi").collect()}
-    schema_ids = {r["table_name"]: r["schema_ids"] for r in raw_windows(center, plan, progress.read()).collect()}
+    folders = raw_windows(center, plan, progress.read())
     tables = [
         TableRun(
             row,
             known.get(row["table_name"], dict.fromkeys(names) | {"table_name": row["table_name"]}),
-            schema_ids.get(row["table_name"], []),
+            folders.get(row["table_name"], {}),
         )
         for row in rows
     ]

@@ -71,10 +71,19 @@ def deliver(paged: DataFrame, send: Callable[[list[dict]], bool], identity: str
 
 
 def write_back(outbox: DataFrame, paged: DataFrame, outcomes: DataFrame, identity: str = "identity") -> DataFrame:
-    """The outbox with status and attempt count of the rows whose batch got an answer."""
-    answered = paged.join(outcomes.where(F.col("outcome") != BROKEN), "batch_no").select(identity, "outcome")
+    """The outbox with status and attempt count of the rows whose batch got an answer.
+
+    An identity that was sent in several batches counts each of them and keeps the last answer.
+    """
+    answered = (
+        paged.select("batch_no", identity)
+        .join(outcomes.where(F.col("outcome") != BROKEN), "batch_no")
+        .groupBy(identity)
+        .agg(F.count_distinct("batch_no").alias("tries"), F.max(F.struct("batch_no", "outcome")).alias("last"))
+        .select(identity, "tries", "last.outcome")
+    )
     values = {
         "submission_status": src("outcome"),
-        "submission_attempt_count": tgt("submission_attempt_count") + 1,
+        "submission_attempt_count": tgt("submission_attempt_count") + src("tries"),
     }
     return update_from(outbox, answered, [identity], values)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -88,18 +88,26 @@ def source_folder() -> Column:
 
 
 def read_changes(
-    spark: SparkSession, root: str, table_name: str, cda_schema_id: str, low: int | None, high: int
+    spark: SparkSession,
+    root: str,
+    table_name: str,
+    cda_schema_id: str,
+    low: int | None,
+    high: int,
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
     """Change rows of one table and schema id from the folders with `low < timestamp <= high`.
 
-    The folder bound depends on the file path alone, so Spark drops files outside
+    With the window's folders given, only they are listed. Without them the whole schema id
+    is listed; the bound depends on the file path alone, so Spark still drops files outside
     the window while it plans the scan.
     """
+    base = f"{root.rstrip('/')}/{table_name}/{cda_schema_id}"
     folder = source_folder()
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*" + DATA_SUFFIX)
-        .parquet(f"{root.rstrip('/')}/{table_name}/{cda_schema_id}")
+        .parquet(*([f"{base}/{name}" for name in folders] if folders else [base]))
         .where((folder > F.lit(low or 0)) & (folder <= F.lit(high)))
         .withColumn("cda_folder", folder)
     )

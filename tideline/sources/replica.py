@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tideline.context import RunContext
 
@@ -24,10 +24,28 @@ def replica_table(
     )
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """The frames stacked by name, halves first so that hundreds of tables stay a shallow plan."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return union_all(frames[:middle]).unionByName(union_all(frames[middle:]), allowMissingColumns=True)
+
+
 def union_tagged(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One long frame of many tables, each row tagged with its table name."""
-    tagged = [frame.withColumn("table_name", F.lit(name)) for name, frame in tables.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    return union_all([frame.withColumn("table_name", F.lit(name)) for name, frame in tables.items()])
+
+
+def read_tagged(spark: SparkSession, root: str, names: Sequence[str], schema: StructType) -> DataFrame:
+    """One scan over the folders of many tables that share the given columns. The tag comes
+    from the file path, so the number of tables adds nothing to the plan."""
+    base = root.rstrip("/")
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    files = reader.parquet(*[f"{base}/{name}" for name in names])
+    level = len(base.split("://", 1)[-1].strip("/").split("/"))
+    inside = F.regexp_replace(F.col("_metadata.file_path"), r"^[a-z0-9]+:/*", "")
+    return files.withColumn("table_name", F.element_at(F.split(inside, "/"), level + 1))
 
 
 def tag_replica(rows: DataFrame, ctx: RunContext, schema_name: str) -> DataFrame:
