@@ -1,6 +1,7 @@
 """End-to-end loads over real files: gating, restart, partial failure, schema versions."""
 
 import json
+from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
 
@@ -64,7 +65,9 @@ def statuses(center):
     return {(r["layer"], r["table_name"]): r["status"] for r in center.control("load_status", incremental.STATUS).read().collect()}
 
 
-def test_two_batches_with_a_new_schema_version(source, center):
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_two_batches_with_a_new_schema_version(source, center, buckets):
+    center = replace(center, buckets=buckets)
     source.drop("pc_a", "s1", 20240101, [(1, 1, "I", 0), (2, 2, "I", 0)], V1)
     source.drop("pc_b", "s1", 20240101, [(7, 1, "I", 0)], V1)
     source.publish()

@@ -144,16 +144,21 @@ def test_merge_over_any_split_equals_one_batch(spark, seed):
     assert rows(merged, "id", "seqval", "operation", "payload", "gw_delete_flag") == wanted
 
 
-def test_bucketed_target_is_not_shuffled(spark):
+def test_bucketed_versions_shuffle_only_the_changes(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        _, frame = changes(spark)
-        merged = layers.merge_load(layers.empty_merged(frame), frame, CTX)
-        layers.write_bucketed(merged, "merged_v1", buckets=8)
-        again = layers.merge_load(spark.table("merged_v1"), frame, CTX)
-        tree = plan_of(again).split("\n\n\n")[0]
-        assert tree.count("Exchange") == 1
-        assert rows(again, "id", "seqval") == rows(merged, "id", "seqval")
+        data, frame = changes(spark)
+        table = VersionedTable(spark, str(tmp_path / "merged"), key=("id",), buckets=8)
+        table.write(layers.merge_load(layers.empty_merged(frame), frame.where("seqval < 200"), CTX))
+        merged = layers.merge_load(table.read(), frame, CTX)
+        assert plan_of(merged).split("\n\n\n")[0].count("Exchange") == 1
+        assert table.write(merged) == 2
+        again = layers.merge_load(table.read(), frame, CTX)
+        assert plan_of(again).split("\n\n\n")[0].count("Exchange") == 1
+        assert rows(again, "id", "seqval") == sorted((r[0], r[1]) for r in newest(data).values())
+        assert len(list((tmp_path / "merged" / "version=2").glob("*.parquet"))) <= 8
+        spark.sql(f"DROP TABLE {table._name(2)}")
+        assert rows(table.read(), "id", "seqval") == rows(again, "id", "seqval")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

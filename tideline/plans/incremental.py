@@ -62,12 +62,13 @@ class Center:
     order: tuple[str, ...] = ("seqval",)
     operation: str = "operation"
     parallel_tables: int = 8
+    buckets: int = 0
 
     def control(self, name: str, schema: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/control/{name}", StructType.fromDDL(schema))
 
     def merged(self, table_name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/mrg/{table_name}")
+        return VersionedTable(self.spark, f"{self.root}/mrg/{table_name}", key=self.key, buckets=self.buckets)
 
     def append_log(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.root}/log/{name}")

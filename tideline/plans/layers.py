@@ -101,12 +101,6 @@ def empty_merged(changes: DataFrame) -> DataFrame:
     )
 
 
-def write_bucketed(merged: DataFrame, table: str, key: Sequence[str] = ("id",), buckets: int = 200) -> None:
-    """Write a merged table bucketed and sorted by key, so that the next merge shuffles the
-    changes only. Use a new table name per version; readers switch when the write is done."""
-    merged.repartition(buckets, *key).write.mode("errorifexists").bucketBy(buckets, *key).sortBy(*key).saveAsTable(table)
-
-
 def layer_counts(rows: DataFrame, layer: str) -> DataFrame:
     """Rows per table of one layer, with the newest folder where the rows carry one."""
     folder = F.max("cda_folder").cast("string") if "cda_folder" in rows.columns else F.lit(None).cast("string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import sha256
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,19 @@ def subfolders(path: str, name: str) -> dict[str, str]:
 
 @dataclass(frozen=True)
 class VersionedTable:
-    """A folder of complete versions, `version=1`, `version=2`, ... The newest finished one counts."""
+    """A folder of complete versions, `version=1`, `version=2`, ... The newest finished one counts.
+
+    With `buckets`, versions are bucketed and sorted by `key`. A merge by that key then
+    shuffles the changes alone: each task joins one bucket and writes it back, so the next
+    version is bucketed without a shuffle of its own. Use at least as many buckets as
+    `spark.sql.shuffle.partitions`; Spark ignores fewer in favour of that parallelism.
+    """
 
     spark: SparkSession
     path: str
     schema: StructType | None = None
+    key: tuple[str, ...] = ()
+    buckets: int = 0
 
     def latest(self) -> int | None:
         """The newest version whose write was committed."""
@@ -43,11 +52,38 @@ class VersionedTable:
             if self.schema is None:
                 raise FileNotFoundError(f"no finished version below {self.path}")
             return self.spark.createDataFrame([], self.schema)
+        if self.buckets:
+            return self._bucketed(version)
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
         return reader.parquet(self._folder(version))
 
+    def _name(self, version: int) -> str:
+        return f"bucketed_{sha256(self._folder(version).encode()).hexdigest()[:24]}"
+
+    def _bucketed(self, version: int) -> DataFrame:
+        """The version as a table of the session's catalog, which is where Spark keeps bucketing."""
+        name, columns = self._name(version), ", ".join(self.key)
+        if not self.spark.catalog.tableExists(name):
+            fields = self.spark.read.parquet(self._folder(version)).schema.fields
+            listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({listed}) USING parquet CLUSTERED BY ({columns}) "
+                f"SORTED BY ({columns}) INTO {self.buckets} BUCKETS LOCATION '{self._folder(version)}'"
+            )
+        return self.spark.table(name)
+
     def write(self, frame: DataFrame, version: int | None = None) -> int:
-        """Write the next version, or redo a given one that no reader uses yet."""
+        """Write the next version, or redo a given one that no reader uses yet.
+
+        The first bucketed version is shuffled by key; later ones come from a merge with a
+        bucketed version and lie in their buckets already.
+        """
         version = version or (self.latest() or 0) + 1
-        frame.write.mode("overwrite").parquet(self._folder(version))
+        if self.buckets:
+            placed = frame.repartition(self.buckets, *self.key) if version == 1 else frame
+            placed.write.mode("overwrite").option("path", self._folder(version)).bucketBy(
+                self.buckets, *self.key
+            ).sortBy(*self.key).saveAsTable(self._name(version))
+        else:
+            frame.write.mode("overwrite").parquet(self._folder(version))
         return version
