@@ -15,6 +15,7 @@ from tideline.functions.names import in_tenant, matches_any
 from tideline.functions.texts import cut, json_payload, last_line, sequence_text
 from tideline.plans.quota import quota_figures, quota_message, quota_report
 from tideline.plans.reports import failure_report, run_state
+from validation.check import plan_of
 
 
 def column(spark, values, kind="string"):
@@ -180,6 +181,7 @@ def test_phase_ignores_the_session_zone(spark):
 def test_failure_report_takes_whole_blocks_until_the_limit(spark):
     rows = [("pc", f"t{i:03d}", "RAW", f"x\n{'e' * (i % 40)}") for i in range(400)] + [("bc", "t", None, "one")]
     frame = spark.createDataFrame(rows, "core_center string, table_name string, procedure_name string, error_message string")
+    assert plan_of(failure_report(frame)).count("Partial") >= 1 and "WindowGroupLimit" in plan_of(failure_report(frame))
     found = {r["core_center"]: r for r in failure_report(frame).collect()}
     for center in ("pc", "bc"):
         blocks = [

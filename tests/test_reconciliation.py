@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.context import RunContext
 from tideline.jobs import reconciliation_job
+from tideline.operators.joins import broadcast_if_small
 from tideline.plans import reconciliation as rec
 
 CTX = RunContext(4567, datetime(2024, 2, 1))
@@ -137,7 +138,7 @@ def test_candidates_restrict_records_by_either_join(spark, monkeypatch):
     replica = spark.createDataFrame([("PC_1", 1, "2"), ("PC_2", 1, "2")], REPLICA)
     wanted = spark.createDataFrame([("PC_2",)], "table_name string")
     for limit in (10, 0):
-        monkeypatch.setattr("tideline.plans.reconciliation.broadcast_if_small", lambda f: __import__("tideline.operators.joins", fromlist=["x"]).broadcast_if_small(f, limit))
+        monkeypatch.setattr(rec, "broadcast_if_small", lambda frame: broadcast_if_small(frame, limit))
         rows = rec.record_comparison(merged, replica, CTX, "S", wanted).collect()
         assert [r["table_name"] for r in rows] == ["PC_2"]
 
@@ -149,7 +150,9 @@ def test_job_over_many_tables(spark):
 
     merged = {"pc_1": table([(1, 0), (2, 0)]), "PC_2": table([(1, 0)]), "bc_9": table([(1, 0)])}
     replica = {"PC_1": table([(1, 0), (2, 1)], False), "pc_2": table([(1, 0)], False), "pct_x": table([(1, 0)], False)}
-    manifest = spark.createDataFrame([], "table_name string, cda_schema_id string, cda_folder string, cda_folder_tms timestamp_ntz")
+    manifest = spark.createDataFrame(
+        [], "table_name string, cda_schema_id string, cda_folder string, cda_folder_tms timestamp_ntz"
+    )
     listed = spark.createDataFrame([], "table_name string")
     comparison, report = reconciliation_job(spark, merged, replica, manifest, listed, CTX, "MRG_PC")
     assert {r["table_name"]: r["id_beanversion_mismatches"] for r in comparison.collect()} == {"PC_1": 1, "PC_2": None}

@@ -47,7 +47,8 @@ def matches_any(name: Column, patterns: Iterable[str] = BLOCKED_PATTERNS) -> Col
 
 def tenant_pattern(schema_name: Column) -> Column:
     """The name pattern of a merged schema; an unknown schema is an error."""
-    chosen = F.raise_error(F.concat(F.lit("no table pattern for schema "), F.coalesce(schema_name, F.lit("null")))).cast("string")
+    shown = F.coalesce(schema_name, F.lit("null"))
+    chosen = F.raise_error(F.concat(F.lit("no table pattern for schema "), shown)).cast("string")
     for schema, pattern in TENANT_PATTERNS.items():
         chosen = F.when(schema_name == schema, F.lit(pattern)).otherwise(chosen)
     return chosen

@@ -30,7 +30,8 @@ def percent_ratio(text: Column) -> Column:
 
 
 def period_seconds(frequency: Column) -> Column:
-    chosen = F.raise_error(F.concat(F.lit("unhandled frequency: "), F.coalesce(frequency, F.lit("null")))).cast("bigint")
+    shown = F.coalesce(frequency, F.lit("null"))
+    chosen = F.raise_error(F.concat(F.lit("unhandled frequency: "), shown)).cast("bigint")
     for name, seconds in PERIOD_SECONDS.items():
         chosen = F.when(frequency == name, F.lit(seconds).cast("bigint")).otherwise(chosen)
     return chosen

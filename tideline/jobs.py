@@ -44,14 +44,12 @@ def _wanted(tables: Mapping[str, DataFrame], pattern: str) -> dict[str, DataFram
 
 def _tagged(tables: Mapping[str, DataFrame], *columns: str) -> DataFrame:
     """One long frame of the named columns as text; a column a table lacks is null."""
-    return union_tagged(
-        {
-            name: frame.select(
-                *[F.col(c).cast("string").alias(c) if c in map(str.lower, frame.columns) else F.lit(None).cast("string").alias(c) for c in columns]
-            )
-            for name, frame in tables.items()
-        }
-    )
+
+    def text(frame: DataFrame, name: str):
+        present = name in map(str.lower, frame.columns)
+        return (F.col(name) if present else F.lit(None)).cast("string").alias(name)
+
+    return union_tagged({name: frame.select(*[text(frame, c) for c in columns]) for name, frame in tables.items()})
 
 
 def reconciliation_job(

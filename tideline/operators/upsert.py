@@ -7,6 +7,8 @@ Where the target is bucketed by the key, only the source side is shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +94,27 @@ def upsert(
     return joined.select(*columns)
 
 
+def merge_into(
+    table: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    *,
+    update: Mapping[str, Column],
+    insert: Mapping[str, Column] | None = None,
+    update_when: Column | None = None,
+) -> None:
+    """The same merge done by the catalog, for tables of a format that supports row-level writes.
+
+    Expressions use `src(name)`, and the table's own name for its columns.
+    """
+    on = reduce(and_, [F.col(f"{table}.{k}") == src(k) for k in keys])
+    merge = source.alias("src").mergeInto(table, on).whenMatched(update_when).update(dict(update))
+    if insert is None:
+        merge.whenNotMatched().insertAll().merge()
+    else:
+        merge.whenNotMatched().insert(dict(insert)).merge()
+
+
 def action_counts(merged: DataFrame) -> DataFrame:
     """Rows written by an upsert: inserted, updated and their sum."""
     inserted = F.count_if(F.col(ACTION) == "insert")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tideline.context import ensure_checkpoint_dir
 from tideline.functions.texts import json_payload
+from tideline.operators.joins import broadcast_if_small
 from tideline.operators.paging import page_rows
 from tideline.operators.upsert import src, tgt, update_from
 
@@ -77,7 +78,7 @@ def write_back(outbox: DataFrame, paged: DataFrame, outcomes: DataFrame, identit
     """
     answered = (
         paged.select("batch_no", identity)
-        .join(outcomes.where(F.col("outcome") != BROKEN), "batch_no")
+        .join(broadcast_if_small(outcomes.where(F.col("outcome") != BROKEN)), "batch_no")
         .groupBy(identity)
         .agg(F.count_distinct("batch_no").alias("tries"), F.max(F.struct("batch_no", "outcome")).alias("last"))
         .select(identity, "tries", "last.outcome")

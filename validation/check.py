@@ -9,7 +9,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from validation.inputs import TABLES
 from validation.oracles import ORACLES
@@ -40,9 +40,35 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
+def plan_of(frame: DataFrame) -> str:
+    """The formatted physical plan."""
+    modes = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode
+    return frame._jdf.queryExecution().explainString(modes.fromString("formatted"))
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "InPandas", "InArrow")
+IN_PYTHON = {"outbox_writeback"}
+
+
+def plan_problem(name: str, frame: DataFrame) -> str | None:
+    """Plan shapes no query may have: products, Python rows, work in one partition."""
+    plan = plan_of(frame)
+    if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+        return "joins every row with every row"
+    if name not in IN_PYTHON and any(node in plan for node in PYTHON_NODES):
+        return "runs Python"
+    # One partition only to finish an aggregate without keys, never for a window or a sort.
+    if any("HashAggregate" not in part.split("Input")[0] for part in plan.split("SinglePartition")[1:]):
+        return "works in one partition"
+    return None
+
+
 def difference(spark: SparkSession, connection, sf_dir: str, name: str) -> str | None:
     """None where both agree, else what differs."""
     frame = QUERIES[name](spark, sf_dir)
+    problem = plan_problem(name, frame)
+    if problem:
+        return problem
     cursor = connection.execute(ORACLES[name])
     oracle_names = [d[0] for d in cursor.description]
     if sorted(frame.columns) != sorted(oracle_names):

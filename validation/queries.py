@@ -474,18 +474,25 @@ def outbox_payload(x: Inputs) -> DataFrame:
     return outbox.payloads(outbox.pending(x["fx_outbox"])).select("identity", "payload")
 
 
-def receiver(batch: list[dict]) -> bool:
-    """Takes, refuses or fails on a batch by the number of its rows without a segment."""
-    missing = sum(row["segment"] is None for row in batch) % 3
-    if missing == 2:
-        raise ConnectionError("no answer")
-    return missing == 0
+def receiver() -> Callable[[list[dict]], bool]:
+    """Takes, refuses or fails on a batch by the number of its rows without a segment.
+
+    Made inside a function so that it travels to the workers by value.
+    """
+
+    def send(batch: list[dict]) -> bool:
+        missing = sum(row["segment"] is None for row in batch) % 3
+        if missing == 2:
+            raise ConnectionError("no answer")
+        return missing == 0
+
+    return send
 
 
 @query
 def outbox_writeback(x: Inputs) -> DataFrame:
     paged = outbox.batches(x["fx_outbox"], page_size=PAGE)
-    return outbox.write_back(x["fx_outbox"], paged, outbox.deliver(paged, receiver))
+    return outbox.write_back(x["fx_outbox"], paged, outbox.deliver(paged, receiver()))
 
 
 # Quota and reports
