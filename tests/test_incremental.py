@@ -74,7 +74,7 @@ def test_two_batches_with_a_new_schema_version(source, center, buckets):
     assert run_incremental_load(center, ctx(1))["state"] == "success"
     assert merged(center, "pc_a") == [(1, 1, 0, "N"), (2, 2, 0, "N")]
 
-    assert run_incremental_load(center, ctx(2)) == {"state": "no_work", "failures": {}}
+    assert run_incremental_load(center, ctx(2)) == {"state": "no_work", "failures": {}, "report": None}
 
     source.drop("pc_a", "s1", 20240102, [(1, 3, "U", 1)], V1)
     source.drop("pc_a", "s2", 20240103, [(2, 4, "D", 1, "x"), (3, 5, "I", 0, "y")], V2)
@@ -106,6 +106,7 @@ def test_a_failed_audit_stops_only_its_table_and_is_repaired(source, center):
     assert result["state"] == "failure"
     layer, text = result["failures"]["pc_a"]
     assert layer == "raw" and "TOTAL_RECORDS_COUNT: table 1, manifest: 5" in text
+    assert result["report"].startswith("Table Name: pc_a\nProcedure Name: SP_PROCESS_RAW_TABLE\nException: ")
     status = statuses(center)
     assert status[("raw", "pc_a")] == "failed" and status[("stg", "pc_a")] == "initial"
     assert status[("mrg", "pc_b")] == "completed"

@@ -25,7 +25,7 @@ from tideline.context import RunContext, ensure_checkpoint_dir
 from tideline.operators.upsert import src, truncate, upsert
 from tideline.plans import layers, load_plan
 from tideline.plans.load_plan import LAYERS
-from tideline.plans.reports import run_state
+from tideline.plans.reports import failure_report, run_state
 from tideline.sources.manifest import read_manifest
 from tideline.sources.objects import read_changes, subfolder_listing
 from tideline.sources.versions import VersionedTable, subfolders
@@ -56,6 +56,7 @@ class Center:
     source_root: str
     root: str
     schema_names: dict[str, str]
+    core_center: str = "pc"
     s3_on: bool = True
     mrg_on: bool = True
     key: tuple[str, ...] = ("id",)
@@ -269,7 +270,7 @@ def register(center: Center, plan: DataFrame, new_manifest: DataFrame, ctx: RunC
 
 
 def run_incremental_load(center: Center, ctx: RunContext, *, is_initial: bool = False) -> dict:
-    """Plan, register, load and audit. Returns the run state and the failures by table.
+    """Plan, register, load and audit. Returns the run state, the failures by table and their report.
 
     The loaded manifest advances when files are registered, before the layers run; a
     restart relies on the load status and on each table's progress. With storage loads
@@ -291,7 +292,7 @@ def run_incremental_load(center: Center, ctx: RunContext, *, is_initial: bool =
     if rows and center.s3_on:
         register(center, plan, new_manifest, ctx)
     if not rows or not center.mrg_on:
-        return {"state": run_state(len(rows), center.s3_on, center.mrg_on, 0), "failures": {}}
+        return {"state": run_state(len(rows), center.s3_on, center.mrg_on, 0), "failures": {}, "report": None}
 
     names = StructType.fromDDL(PROGRESS).names
     known = {r["table_name"]: r.asDict() for r in progress.read().join(plan, "table_name", "left_semi").collect()}
@@ -316,10 +317,14 @@ def run_incremental_load(center: Center, ctx: RunContext, *, is_initial: bool =
         upsert(progress.read(), reached, ["table_name"], update={n: src(n) for n in names[1:]}, unique_source=True)
     )
     failures = [(layer, t.name, text) for t in tables for layer, text in t.failed.items()]
+    report = None
     if failures:
         frame = spark.createDataFrame(failures, "layer string, table_name string, error_message string")
-        center.append_log("error", layers.error_log(frame, ctx, center.schema_names))
+        logged = layers.error_log(frame, ctx, center.schema_names).withColumn("core_center", F.lit(center.core_center))
+        center.append_log("error", logged.drop("core_center"))
+        report = failure_report(logged.withColumnRenamed("job_name", "procedure_name")).first()["notice"]
     return {
         "state": run_state(len(rows), center.s3_on, center.mrg_on, len(failures)),
         "failures": {name: (layer, text) for layer, name, text in failures},
+        "report": report,
     }

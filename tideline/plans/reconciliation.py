@@ -180,9 +180,9 @@ def record_comparison(
 ) -> DataFrame:
     """Live merged rows and replica rows side by side by table and id; unmatched rows stay.
 
-    `merged` and `replica` hold table_name, id, beanversion. A null id matches nothing;
-    such rows would all meet in one partition of the join, so a spreading key, null-safe
-    on the id, sends them to many.
+    `merged` and `replica` hold table_name, id, beanversion. A null id matches nothing, so
+    rows without one pass by the join, where all of them would meet in one partition. Parquet
+    statistics answer the null test, so the extra scans skip files that have none.
     """
     left = live_rows(merged).select(
         F.upper("table_name").alias("table_name"),
@@ -199,24 +199,18 @@ def record_comparison(
         left = left.join(wanted, "table_name", "left_semi")
         right = right.join(wanted, "table_name", "left_semi")
 
-    def spread(key: str, other: str) -> Column:
-        return F.when(F.col(key).isNull(), F.pmod(F.xxhash64(other), F.lit(1024))).otherwise(F.lit(0))
-
-    left = left.withColumn("_spread", spread("mrg_id", "mrg_beanversion")).alias("m")
-    right = right.withColumn("_spread", spread("replica_id", "replica_beanversion")).alias("r")
-    same = (
-        (F.col("m.table_name") == F.col("r.table_name"))
-        & (F.col("m.mrg_id") == F.col("r.replica_id"))
-        & (F.col("m._spread") == F.col("r._spread"))
+    m, r = left.where("mrg_id IS NOT NULL").alias("m"), right.where("replica_id IS NOT NULL").alias("r")
+    same = (F.col("m.table_name") == F.col("r.table_name")) & (F.col("mrg_id") == F.col("replica_id"))
+    sides = ["mrg_id", "mrg_beanversion", "replica_id", "replica_beanversion"]
+    paired = m.join(r, same, "full_outer").select(
+        F.coalesce("m.table_name", "r.table_name").alias("table_name"), *sides
     )
-    return left.join(right, same, "full_outer").select(
-        ctx.batch.alias("batch_id"),
-        F.lit(schema_name.upper()).alias("schema_name"),
-        F.coalesce("m.table_name", "r.table_name").alias("table_name"),
-        "mrg_id",
-        "mrg_beanversion",
-        "replica_id",
-        "replica_beanversion",
+    records = (
+        paired.unionByName(left.where("mrg_id IS NULL"), allowMissingColumns=True)
+        .unionByName(right.where("replica_id IS NULL"), allowMissingColumns=True)
+    )
+    return records.select(
+        ctx.batch.alias("batch_id"), F.lit(schema_name.upper()).alias("schema_name"), "table_name", *sides
     )
 
 

@@ -36,12 +36,12 @@ def notices(
 RULE = "*" * 56
 
 
-def failure_report(errors: DataFrame, group: str = "core_center") -> DataFrame:
-    """One text per core center from failed steps (table_name, procedure_name, error_message)."""
+def known(value: Column) -> Column:
+    return F.coalesce(value, F.lit("None"))
 
-    def known(value: Column) -> Column:
-        return F.coalesce(value, F.lit("None"))
 
+def failure_report(errors: DataFrame, group: str = "core_center") -> DataFrame:
+    """One text per core center from failed steps (table_name, procedure_name, error_message)."""
     block = F.concat(
         F.lit("Table Name: "), known(F.col("table_name")),
         F.lit("\nProcedure Name: "), known(F.col("procedure_name")),
@@ -52,6 +52,17 @@ def failure_report(errors: DataFrame, group: str = "core_center") -> DataFrame:
     return notices(errors, group, ["table_name", "procedure_name", "error_message"], block, shortest=98)
 
 
+def table_failure_notice(errors: DataFrame) -> DataFrame:
+    """One text per schema from tables that could not be compared (table_name, error_message)."""
+    block = F.concat(
+        F.lit("Schema Name: "), known(F.col("schema_name")),
+        F.lit("\nTable Name: "), known(F.col("table_name")),
+        F.lit("\nException: "), known(last_line(F.col("error_message"))), F.lit("\n"),
+    )
+    # The labels alone have this many characters.
+    return notices(errors, "schema_name", ["table_name", "error_message"], block, shortest=39)
+
+
 def run_state(plan_rows: int, s3_on: bool, mrg_on: bool, failures: int) -> str:
     """The single outcome a run reports."""
     if not s3_on and not mrg_on:

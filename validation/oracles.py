@@ -555,4 +555,12 @@ SELECT core_center, count(*) AS entry_count,
 FROM fx_errors GROUP BY core_center
 """
 
+_SQL["table_failure_notice"] = """
+SELECT schema_name, count(*) AS entry_count,
+       left(string_agg(format('Schema Name: {}{}Table Name: {}{}Exception: {}{}', schema_name, chr(10), table_name, chr(10),
+                              split_part(error_message, chr(10), -1), chr(10)),
+                       repeat(chr(10), 3) ORDER BY table_name), 1500) AS notice
+FROM (SELECT 'MRG_' || upper(core_center) AS schema_name, * FROM fx_errors) GROUP BY schema_name
+"""
+
 ORACLES = {name: duckdb_with(sql) for name, sql in _SQL.items()}

@@ -513,3 +513,9 @@ def quota_bars(x: Inputs) -> DataFrame:
 @query
 def failure_report(x: Inputs) -> DataFrame:
     return reports.failure_report(x["fx_errors"])
+
+
+@query
+def table_failure_notice(x: Inputs) -> DataFrame:
+    schema = F.concat(F.lit("MRG_"), F.upper("core_center"))
+    return reports.table_failure_notice(x["fx_errors"].withColumn("schema_name", schema))
