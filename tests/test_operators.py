@@ -44,8 +44,8 @@ def test_upsert_updates_inserts_and_counts(spark):
 def test_upsert_condition_null_is_no_update(spark):
     target = spark.createDataFrame([("a", None, "x"), ("b", 5, "y"), ("c", 1, "z")], KV)
     source = spark.createDataFrame([("a", 9, "n"), ("b", 4, "n"), ("c", 4, "n")], KV)
-    merged = upsert(target, source, ["k"], update={"v": src("v"), "w": src("w")}, update_when=tgt("v") < src("v"))
-    assert rows(merged, "k", "v", "w") == [("a", None, "x"), ("b", 5, "y"), ("c", 4, "n")]
+    merged = upsert(target, source, ["k"], update={"v": src("v"), "w": src("w")}, update_when=tgt("v") < src("v"), with_action=True)
+    assert rows(merged, "k", "v", "w", "_action") == [("a", None, "x", "match"), ("b", 5, "y", "match"), ("c", 4, "n", "update")]
 
 
 def test_upsert_matches_names_in_any_case_and_fills_missing_columns(spark):

@@ -64,7 +64,8 @@ def upsert(
     (default: the source columns of the same name), other columns null. Expressions
     use `src(name)` and `tgt(name)`. `match` maps key columns before comparison.
     `unique_source` states that the source is grouped by the keys already and skips
-    the check.
+    the check. `with_action` adds what happened to each row: `insert`, `update`, `match`
+    (met a source row but was left alone) or `keep`.
     """
     if insert is None:
         insert = {c: src(c) for c in source.columns if c in target.columns}
@@ -90,7 +91,8 @@ def upsert(
 
     columns = [value(field) for field in target.schema.fields]
     if with_action:
-        columns.append(F.when(is_new, "insert").when(hit, "update").otherwise("keep").alias(ACTION))
+        met = F.col(_IN_SOURCE).isNotNull()
+        columns.append(F.when(is_new, "insert").when(hit, "update").when(met, "match").otherwise("keep").alias(ACTION))
     return joined.select(*columns)
 
 

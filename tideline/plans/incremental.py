@@ -257,14 +257,12 @@ def raw_windows(center: Center, plan: DataFrame, progress: DataFrame) -> dict[st
 def register(center: Center, plan: DataFrame, new_manifest: DataFrame, ctx: RunContext) -> None:
     """Note the arrival of files: statuses become pending or initial, the loaded manifest advances."""
     manifest, status = center.control("manifest", MANIFEST), center.control("load_status", STATUS)
-    arrived = plan.where("load_s3").select(F.col("table_name").alias("_name"))
-    entries = new_manifest.join(arrived, F.lower("table_name") == F.col("_name"), "left_semi")
+    entries = load_plan.arrived_entries(new_manifest, plan)
     statuses = load_plan.upsert_load_status(
         status.read(), load_plan.touched_layers(plan), ctx, with_action=True
     ).checkpoint()
     manifests = load_plan.upsert_manifest(manifest.read(), entries, ctx, with_action=True).checkpoint()
-    center.append_log("process", load_plan.process_log(statuses, "merge into load status", ctx))
-    center.append_log("process", load_plan.process_log(manifests, "merge into manifest details", ctx))
+    center.append_log("process", load_plan.arrival_log(statuses, manifests, center.schema_names, ctx))
     status.write(statuses.drop("_action"))
     manifest.write(manifests.drop("_action"))
 

@@ -13,7 +13,7 @@ from tideline.context import RunContext
 from tideline.operators.history import latest_per_key
 from tideline.operators.joins import broadcast_if_small
 from tideline.operators.upsert import src, tgt, update_from, upsert
-from tideline.plans.load_plan import LAYERS
+from tideline.plans.load_plan import LAYERS, name_of_layer
 
 META_COLUMNS = ["batchid", "row_insert_tms", "row_update_tms"]
 
@@ -189,21 +189,14 @@ def audit_failures(audit: DataFrame, schema_names: dict[str, str]) -> DataFrame:
 
 def error_log(failures: DataFrame, ctx: RunContext, schema_names: dict[str, str]) -> DataFrame:
     """Failed checks as rows of the error log."""
-
-    def by_layer(values: dict[str, str]) -> Column:
-        chosen = F.lit(None).cast("string")
-        for layer, value in values.items():
-            chosen = F.when(F.col("layer") == layer, F.lit(value)).otherwise(chosen)
-        return chosen
-
     return failures.select(
         ctx.batch.alias("batchid"),
         F.lit(ctx.day).alias("day_id"),
         "error_message",
         F.lit("N/A").alias("error_sql"),
-        by_layer(STEP_NAMES).alias("job_name"),
+        name_of_layer(F.col("layer"), STEP_NAMES).alias("job_name"),
         ctx.now.alias("row_insert_tms"),
-        by_layer(schema_names).alias("schema_name"),
+        name_of_layer(F.col("layer"), schema_names).alias("schema_name"),
         "table_name",
     )
 

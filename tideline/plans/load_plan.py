@@ -137,14 +137,34 @@ def touched_layers(plan: DataFrame) -> DataFrame:
     return plan.where("load_s3").select(F.explode(F.array(*map(F.lit, LAYERS))).alias("layer"), "table_name")
 
 
-def process_log(written: DataFrame, process_name: str, ctx: RunContext) -> DataFrame:
-    """One log row per table and step: rows an upsert wrote for it (`table_name`, `_action`)."""
-    return written.where(F.col("_action").isin("insert", "update")).groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("row_count")
-    ).select(
+def arrived_entries(new_manifest: DataFrame, plan: DataFrame) -> DataFrame:
+    """Manifest entries of the tables loaded from storage."""
+    arrived = plan.where("load_s3").select(F.col("table_name").alias("_arrived"))
+    return new_manifest.join(arrived, F.lower("table_name") == F.col("_arrived"), "left_semi")
+
+
+def name_of_layer(layer: Column, names: dict[str, str]) -> Column:
+    """What a layer is called: its schema or its step."""
+    chosen = F.lit(None).cast("string")
+    for key, name in names.items():
+        chosen = F.when(layer == key, F.lit(name)).otherwise(chosen)
+    return chosen
+
+
+def process_log(merged: DataFrame, process_name: str, schema_name: Column, ctx: RunContext) -> DataFrame:
+    """One log row per source row of an upsert (its result with `_action`), with the rows it wrote: 0 or 1."""
+    return merged.where(F.col("_action") != "keep").select(
         ctx.batch.alias("batchid"),
+        schema_name.alias("schema_name"),
         "table_name",
         F.lit(ctx.job_name).alias("job_name"),
         F.lit(process_name).alias("process_name"),
-        "row_count",
-    )
+        F.when(F.col("_action") == "match", 0).otherwise(1).cast("bigint").alias("row_count"),
+    )
+
+
+def arrival_log(statuses: DataFrame, manifests: DataFrame, schema_names: dict[str, str], ctx: RunContext) -> DataFrame:
+    """The process log of registered files: a row per table and layer, and one per manifest entry
+    under the raw schema."""
+    by_layer = process_log(statuses, "merge into load status", name_of_layer(F.col("layer"), schema_names), ctx)
+    return by_layer.unionByName(process_log(manifests, "merge into manifest details", F.lit(schema_names["raw"]), ctx))

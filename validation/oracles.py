@@ -199,11 +199,16 @@ FROM ({STATUS_AFTER})
 """
 
 _SQL["process_log"] = f"""
-SELECT CAST(4567 AS BIGINT) AS batchid, table_name, 'incremental_load' AS job_name, process_name, row_count
-FROM (SELECT table_name, 'merge into load status' AS process_name, count(*) AS row_count
-      FROM ({STATUS_AFTER}) WHERE batch_id IS DISTINCT FROM 4566 GROUP BY table_name
+WITH arrived AS (SELECT table_name FROM ({_plan()}) WHERE load_s3),
+     touched AS (SELECT unnest(['raw', 'stg', 'mrg']) AS layer, table_name FROM arrived)
+SELECT CAST(4567 AS BIGINT) AS batchid, schema_name, table_name, 'incremental_load' AS job_name, process_name,
+       CAST(row_count AS BIGINT) AS row_count
+FROM (SELECT upper(t.layer) || '_PC' AS schema_name, t.table_name, 'merge into load status' AS process_name,
+             CASE WHEN s.layer IS NULL OR s.status = 'completed' THEN 1 ELSE 0 END AS row_count
+      FROM touched t LEFT JOIN fx_load_status s ON t.layer = s.layer AND t.table_name = s.table_name
       UNION ALL
-      SELECT table_name, 'merge into manifest details', 1 FROM ({MANIFEST_AFTER}) WHERE action <> 'keep')
+      SELECT 'RAW_PC', m.table_name, 'merge into manifest details', CASE WHEN m.action = 'keep' THEN 0 ELSE 1 END
+      FROM ({MANIFEST_AFTER}) m JOIN arrived a ON lower(m.table_name) = a.table_name)
 """
 
 # Layers

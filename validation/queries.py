@@ -199,10 +199,9 @@ def status_after_load(x: Inputs) -> DataFrame:
 @query
 def process_log(x: Inputs) -> DataFrame:
     statuses = load_plan.upsert_load_status(_status(x), load_plan.touched_layers(_plan(x)), CTX, with_action=True)
-    manifests = load_plan.upsert_manifest(_loaded_manifest(x), x["fx_src_manifest"], CTX, with_action=True)
-    return load_plan.process_log(statuses, "merge into load status", CTX).unionByName(
-        load_plan.process_log(manifests, "merge into manifest details", CTX)
-    )
+    entries = load_plan.arrived_entries(x["fx_src_manifest"], _plan(x))
+    manifests = load_plan.upsert_manifest(_loaded_manifest(x), entries, CTX, with_action=True)
+    return load_plan.arrival_log(statuses, manifests, LAYER_SCHEMAS, CTX)
 
 
 # Layers
