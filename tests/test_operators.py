@@ -247,7 +247,8 @@ def test_outbox_job_sends_each_pending_row_once(spark, tmp_path):
     def send(batch):
         assert set(batch[0]) == {"name"}
         first = batch[0]["name"]
-        (log / f"{first}-{len(batch)}").write_text("")
+        with open(log / f"{first}-{len(batch)}", "a") as out:
+            out.write("sent ")
         if first == "n0":
             raise ConnectionError
         return first != "n21"
@@ -256,6 +257,7 @@ def test_outbox_job_sends_each_pending_row_once(spark, tmp_path):
     outcomes = outbox_job(table, send, page_size=10)
     pages = [waiting[i : i + 10] for i in range(0, len(waiting), 10)]
     assert sorted(p.name for p in log.iterdir()) == sorted(f"n{p[0]}-{len(p)}" for p in pages)
+    assert {p.read_text() for p in log.iterdir()} == {"sent "}
     answer = {i: None if p[0] == 0 else "FAILURE" if p[0] == 21 else "SUCCESS" for p in pages for i in p}
     wanted = [(r[0], answer.get(r[0]) or r[2], r[3] + (answer.get(r[0]) is not None)) for r in data]
     assert rows(table.read(), "identity", "submission_status", "submission_attempt_count") == sorted(wanted, key=repr)

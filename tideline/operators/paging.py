@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tideline.context import ensure_checkpoint_dir
 
@@ -14,8 +15,9 @@ def number_rows(frame: DataFrame, order: str, slices: int | None = None) -> Data
     """A snapshot of the frame with the 0-based `position` of each row in `order`.
 
     Rows are range-partitioned and sorted inside each slice, with no global sort into
-    one task; a running number as second key lets many rows of one `order` value fall
-    into several slices. The slices are checkpointed: offsets and rows must come from the
+    one task; a hash of the row as second key lets many rows of one `order` value fall
+    into several slices (a hash, not a running number: a repeated task must send each row
+    to the same slice). The slices are checkpointed: offsets and rows must come from the
     same partitioning, and callers that change the source later keep a stable snapshot.
     The driver sees one count per slice.
     """
@@ -23,8 +25,9 @@ def number_rows(frame: DataFrame, order: str, slices: int | None = None) -> Data
     ensure_checkpoint_dir(spark)
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    hashed = [f.name for f in frame.schema.fields if not isinstance(f.dataType, MapType)]
     sliced = (
-        frame.withColumn("_tie", F.monotonically_increasing_id())
+        frame.withColumn("_tie", F.xxhash64(*hashed))
         .repartitionByRange(slices, order, "_tie")
         .sortWithinPartitions(order, "_tie")
         .drop("_tie")
