@@ -131,7 +131,10 @@ def newest(data):
 
 def test_latest_per_key_with_a_hot_key(spark):
     data, frame = changes(spark)
-    assert rows(latest_per_key(frame, ["id"], ["seqval"]), *frame.columns) == sorted(newest(data).values(), key=repr)
+    found = latest_per_key(frame, ["id"], ["seqval"])
+    assert rows(found, *frame.columns) == sorted(newest(data).values(), key=repr)
+    above, below = plan_of(found).split("\n\n\n")[0].split("Exchange", 1)
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
 
 
 @pytest.mark.parametrize("seed", range(3))
