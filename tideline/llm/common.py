@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +66,22 @@ def training_labels(labels: DataFrame, label: str, limit: int) -> DataFrame:
 
 
 def training_texts(documents: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """(doc_id, text, label): the bounded sample a classifier is fitted on (`limit` rows, so it is broadcast)."""
+    """(doc_id, text, label): the bounded sample a classifier is fitted on.
+
+    The ids are chosen from the labels alone, so no text moves but the sample's; `limit` rows are broadcast.
+    """
     chosen = training_labels(labels, label, limit)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    return texts.join(F.broadcast(chosen), "doc_id")
+
+
+def gram_hashes(codes: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """A hash of `bits` bits for each run of n codes (unsigned 32-bit)."""
+    count = len(codes) - n + 1
+    if count <= 0:
+        return np.zeros(0, np.uint32)
+    h = np.full(count, n * 2654435761 & 0xFFFFFFFF, np.uint32)
+    for j in range(n):
+        h = (h ^ codes[j : j + count]) * np.uint32(0x01000193)
+        h ^= h >> np.uint32(15)
+    return (h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits)
