@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, fingerprints, lines, neighbours, packing, rules, toxicity
+from tideline.llm import bpe, chat, fingerprints, hosts, lines, neighbours, oracles, packing, rules, toxicity
 from tideline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op5_line_dedup": oracles.OP5, "op6_chat_formatting": oracles.op6(), "op9_url_filters": oracles.op9()}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -49,26 +49,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-ORACLES["op5_line_dedup"] = r"""
-WITH lines AS (
-    SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
-    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
-), keyed AS (
-    SELECT doc_id, pos, line,
-        translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
-            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-    FROM lines
-), repeated AS (
-    SELECT key, max(doc_id) AS last_doc FROM keyed
-    WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
-), marked AS (
-    SELECT k.doc_id, k.pos, k.line, r.key IS NOT NULL AND k.doc_id <> r.last_doc AS gone
-    FROM keyed k LEFT JOIN repeated r ON k.key = r.key
-)
-SELECT doc_id, count(*) AS n_lines, coalesce(sum(gone::INT), 0)::BIGINT AS n_dropped,
-    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
-"""
+@query
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], turns.schema)
+    return chat.digests(chat.format_conversations(turns.unionByName(added))).drop("valid")
 
 
 @query
@@ -82,6 +68,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+@query
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = hosts.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
