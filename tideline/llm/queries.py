@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, chat, fingerprints, hosts, lines, neighbours, oracles, packing, rules, toxicity
+from tideline.llm import bpe, chat, fingerprints, hosts, lines, neardup, neighbours, oracles, packing, rules, toxicity
 from tideline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(table(spark, sf_dir, "documents"))
