@@ -1,16 +1,60 @@
-"""The corpus pipeline: quality rules, quality classifier, line dedup, near-dedup, packing."""
+"""The corpus pipeline: quality rules, quality classifier, line dedup, near-dedup, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; all but the last
+return the columns of `docs`. The first two drop the documents they reject, the third drops lines, the
+fourth leaves one document of each group, the last gives the pieces of 4096-token sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideline.llm import lines, neardup, neighbours, packing, rules
+from tideline.llm.common import stored, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return rules.keep_regular(docs)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from the labelled documents among those given."""
+    return neighbours.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """n_chars, where there is one, follows the text."""
+    cleaned = lines.drop_repeated_lines(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))
+    return cleaned.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.keep_one(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("packing", pack),
+]
 
-STAGES: list = []
 #: SQL cannot express the stages; tests/llm hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

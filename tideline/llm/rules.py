@@ -222,11 +222,11 @@ def verdicts(docs: DataFrame) -> DataFrame:
 def keep_regular(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns.
 
-    The statistics are computed again beside the row, so that no row has to be found by its id.
+    Rows are written once with their statistics, so that these are worked out once and no row has to
+    be found by its id.
     """
-    estimate = estimates(stored(flat(docs)))
     (box,) = fresh(docs, "statistics_of_row")
-    rows = with_statistics(docs, box)
     marks = [F.col(box)[c].alias(c) for c in ["base_failed", *[f"x{i}" for i in DIMS]]]
-    boxed = rows.select(F.struct(*docs.columns).alias("row"), F.col("lang"), F.col("source"), *marks)
-    return judged(boxed, estimate).where("kept").select("row.*")
+    rows = with_statistics(docs, box)
+    rows = stored(rows.select(F.struct(*docs.columns).alias("row"), "lang", "source", *marks))
+    return judged(rows, estimates(rows.drop("row"))).where("kept").select("row.*")
