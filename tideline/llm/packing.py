@@ -16,10 +16,10 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,37 +27,61 @@ from tideline.llm.common import stored
 
 LENGTH, END_ID = 4096, 2
 DIMENSIONS, BITS, SEED = 4, 8, 7
-TEXTS, CACHED = 256, 300_000
+TEXTS, WORDS, CACHED = 256, 200, 600_000
 #: In texts of these characters lower case and composition work character by character, so that a
-#: text's tokens are those of its pieces (fixed values: the tokenizer's own split pattern).
-OTHER_SCRIPT = re.compile("[^\x00-ɏ]|İ")
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+")
+#: text's tokens are those of its words. A zero character is left over to part words.
+OTHER_SCRIPT = re.compile("[^\x01-\x1b -ɏ]|İ")
+PART = "\x00"
+#: The tokenizer's own split pattern (fixed value).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: In any other text, tokens never span a blank or a line end.
 RUN = re.compile("[^ \n]+")
 
 
 class Tokens:
-    """Ids of whole texts, with the ids of pieces kept for the next text. One per Python worker."""
+    """Ids of whole texts, with the ids of words kept for the next text. One per Python worker."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Regex, Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # For words in lower case already: many at once, parted by a token of their own.
+        self.lower = Tokenizer.from_file(path)
+        self.lower.encode_special_tokens = True
+        self.lower.normalizer = None
+        split = pre_tokenizers.Split(Regex(SPLIT), "removed", invert=True)
+        self.lower.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        (self.part,) = self.lower.encode(PART, add_special_tokens=False).ids
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.weights = np.random.default_rng(SEED).standard_normal((size, DIMENSIONS)).astype(np.float32)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [PIECE.findall(t.lower()) if OTHER_SCRIPT.search(t) is None else RUN.findall(t) for t in texts]
-        if len(self.known) > CACHED:
-            self.known.clear()
-        new = list({p for pieces in split for p in pieces if p not in self.known})
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
+        plain = [OTHER_SCRIPT.search(t) is None for t in texts]
+        split = [t.lower().split() if p else RUN.findall(t) for t, p in zip(texts, plain)]
+        for known in (self.words, self.runs):
+            if len(known) > CACHED:
+                known.clear()
+        self.add_words(set(chain.from_iterable(s for s, p in zip(split, plain) if p)).difference(self.words))
+        new = list(set(chain.from_iterable(s for s, p in zip(split, plain) if not p)).difference(self.runs))
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.runs.update(zip(new, (np.array(e.ids, self.kind).tobytes() for e in found)))
+        return [b"".join(map((self.words if p else self.runs).__getitem__, s)) for s, p in zip(split, plain)]
+
+    def add_words(self, words: set[str]) -> None:
+        new = list(words)
+        together = [f" {PART} ".join(new[at : at + WORDS]) + f" {PART}" for at in range(0, len(new), WORDS)]
+        found = [e.ids for e in self.lower.encode_batch_fast(together, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), self.kind)
+        cuts = np.flatnonzero(ids == self.part).tolist()
+        raw, width, begin = ids.tobytes(), self.kind.itemsize, 0
+        for word, end in zip(new, cuts, strict=True):
+            self.words[word] = raw[width * begin : width * end]
+            begin = end + 1
 
     def points(self, ids: list[bytes]) -> np.ndarray:
         """Each document's point, in whole steps of a cube; about standard normal before it is spread evenly."""
