@@ -12,7 +12,7 @@ import os
 import time
 from pathlib import Path
 
-from tideline.context import build_session
+from tideline.context import build_session, name_local_checkpoint_dir
 from validation.queries import QUERIES
 
 HEADLINE = [
@@ -47,6 +47,7 @@ def main() -> None:
         {"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
+    name_local_checkpoint_dir(spark)
     seconds = {}
     for name in names:
         best = None

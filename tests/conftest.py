@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from tideline.context import ensure_checkpoint_dir  # noqa: E402
+from tideline.context import name_local_checkpoint_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +22,6 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(session)
+    name_local_checkpoint_dir(session)
     yield session
     session.stop()

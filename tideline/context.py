@@ -53,19 +53,23 @@ def build_session(app_name: str, master: str | None = None, conf: dict[str, str]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage.
-
-    A cluster names it in `spark.checkpoint.dir`. Only a local session without
-    that setting gets a temporary folder; a cluster without it is an error.
-    """
+    """The shared folder for cut lineage: the one set already, else that of `spark.checkpoint.dir`."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        named = tempfile.mkdtemp(prefix="tideline-checkpoint-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     context.setCheckpointDir(named)
     return named
+
+
+def name_local_checkpoint_dir(spark: SparkSession) -> None:
+    """For tests, benches and trials: a temporary folder for a session on one machine that names none.
+
+    Operators never call this; on a cluster it does nothing.
+    """
+    unnamed = spark.sparkContext.getCheckpointDir() is None and spark.conf.get("spark.checkpoint.dir", None) is None
+    if unnamed and spark.sparkContext.master.split("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tideline-checkpoint-"))

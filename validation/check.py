@@ -11,6 +11,7 @@ from decimal import Decimal
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.context import name_local_checkpoint_dir
 from validation.inputs import TABLES
 from validation.oracles import ORACLES
 from validation.queries import QUERIES
@@ -91,6 +92,7 @@ def main() -> int:
         .config("spark.ui.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    name_local_checkpoint_dir(spark)
     connection, bad = connect(sf_dir), 0
     for name in names:
         started = time.time()
