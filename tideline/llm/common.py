@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.context import ensure_checkpoint_dir
+from tideline.context import ensure_checkpoint_dir, name_local_checkpoint_dir
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +25,7 @@ def stored(frame: DataFrame) -> DataFrame:
     Cuts the lineage like checkpoint(), but columnar. The folder goes when the application ends.
     """
     spark = frame.sparkSession
+    name_local_checkpoint_dir(spark)
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}"
     frame.write.option("compression", "zstd").parquet(path)
