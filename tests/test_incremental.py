@@ -10,6 +10,7 @@ import pytest
 from tideline.context import RunContext
 from tideline.plans import incremental
 from tideline.plans.incremental import Center, TableRun, run_incremental_load, run_layer
+from tideline.sources import objects
 
 NAMES = {"raw": "RAW_PC", "stg": "STG_PC", "mrg": "MRG_PC"}
 
@@ -106,7 +107,7 @@ def test_a_failed_audit_stops_only_its_table_and_is_repaired(source, center):
     assert result["state"] == "failure"
     layer, text = result["failures"]["pc_a"]
     assert layer == "raw" and "TOTAL_RECORDS_COUNT: table 1, manifest: 5" in text
-    assert result["report"].startswith("Table Name: pc_a\nProcedure Name: SP_PROCESS_RAW_TABLE\nException: ")
+    assert result["report"].startswith("Table Name: pc_a\nProcedure Name: load_raw\nException: ")
     status = statuses(center)
     assert status[("raw", "pc_a")] == "failed" and status[("stg", "pc_a")] == "initial"
     assert status[("mrg", "pc_b")] == "completed"
@@ -133,8 +134,9 @@ def test_restart_after_a_stage_failure_takes_in_both_batches(source, center, mon
     assert merged(center, "pc_a") == [(1, 1, 0, "N"), (2, 2, 0, "N")]
 
 
-def test_more_folders_than_the_driver_takes(source, center, monkeypatch):
-    monkeypatch.setattr(incremental, "MAX_FOLDERS", 1)
+def test_folders_are_read_in_groups(source, center, monkeypatch):
+    monkeypatch.setattr(objects, "FOLDERS_PER_SCAN", 1)
+    source.drop("pc_a", "s1", 20240100, [(1, 0, "I", 0)], V1)
     source.drop("pc_a", "s1", 20240101, [(1, 1, "I", 0)], V1)
     source.drop("pc_a", "s2", 20240102, [(2, 2, "I", 0, "x")], V2)
     source.publish()
@@ -142,6 +144,101 @@ def test_more_folders_than_the_driver_takes(source, center, monkeypatch):
     assert merged(center, "pc_a") == [(1, 1, 0, "N"), (2, 2, 0, "N")]
 
 
+class Crash(BaseException):
+    """Ends a run like a lost driver: no handler of the run sees it."""
+
+
+def two_batches(source, center):
+    """Batch 1 loaded, the files of batch 2 landed."""
+    source.drop("pc_a", "s1", 20240101, [(1, 1, "I", 0), (2, 1, "I", 0)], V1)
+    source.publish()
+    assert run_incremental_load(center, ctx(1))["state"] == "success"
+    source.drop("pc_a", "s1", 20240102, [(1, 2, "U", 1)], V1)
+    source.drop("pc_a", "s2", 20240103, [(3, 3, "I", 0, "x")], V2)
+    source.publish()
+
+
+WHOLE = [(1, 2, 1, "N"), (2, 1, 0, "N"), (3, 3, 0, "N")]
+
+
+@pytest.mark.parametrize("again", [2, 3])
+@pytest.mark.parametrize("layer", ["raw", "stg", "mrg"])
+def test_a_failed_batch_is_repeated(source, center, monkeypatch, layer, again):
+    two_batches(source, center)
+    load = incremental.LOADERS[layer]
+
+    def half(*args):
+        load(*args)
+        raise RuntimeError("after its writes")
+
+    monkeypatch.setattr(incremental, "LOADERS", {**incremental.LOADERS, layer: half})
+    assert run_incremental_load(center, ctx(2))["failures"]["pc_a"][0] == layer
+    assert merged(center, "pc_a") == [(1, 1, 0, "N"), (2, 1, 0, "N")]
+    monkeypatch.undo()
+    assert run_incremental_load(center, ctx(again))["state"] == "success"
+    assert merged(center, "pc_a") == WHOLE
+    assert set(statuses(center).values()) == {"completed"}
+    assert run_incremental_load(center, ctx(9))["state"] == "no_work"
+
+
+@pytest.mark.parametrize("place", ["register", "raw", "stg", "mrg", "write_progress", "publish"])
+def test_a_crashed_run_is_repeated(source, center, monkeypatch, place):
+    two_batches(source, center)
+
+    def crash_after(function):
+        def run(*args, **kwargs):
+            function(*args, **kwargs)
+            raise Crash
+
+        return run
+
+    if place in incremental.LOADERS:
+        real = incremental.run_layer
+        monkeypatch.setattr(incremental, "run_layer", lambda c, t, layer, x: crash_after(real)(c, t, layer, x) if layer == place else real(c, t, layer, x))
+    elif place == "publish":
+        monkeypatch.setattr(incremental.VersionedTable, "publish", lambda self, version: (_ for _ in ()).throw(Crash()))
+    else:
+        monkeypatch.setattr(incremental, place, crash_after(getattr(incremental, place)))
+    with pytest.raises(Crash):
+        run_incremental_load(center, ctx(2))
+    assert merged(center, "pc_a") == [(1, 1, 0, "N"), (2, 1, 0, "N")]
+    monkeypatch.undo()
+    assert run_incremental_load(center, ctx(2))["state"] == "success"
+    assert merged(center, "pc_a") == WHOLE
+    assert set(statuses(center).values()) == {"completed"}
+
+
+def test_readers_do_not_get_a_version_whose_audit_failed(source, center, monkeypatch):
+    two_batches(source, center)
+    real = incremental.audit
+    bad = [{"table_name": "pc_a", "error_message": "counts differ"}]
+    monkeypatch.setattr(incremental, "audit", lambda c, t, layer, x: bad if layer == "mrg" else real(c, t, layer, x))
+    assert run_incremental_load(center, ctx(2))["state"] == "failure"
+    assert merged(center, "pc_a") == [(1, 1, 0, "N"), (2, 1, 0, "N")]
+    monkeypatch.undo()
+    assert run_incremental_load(center, ctx(2))["state"] == "success"
+    assert merged(center, "pc_a") == WHOLE
+
+
+def test_a_type_that_widens_between_schema_ids(source, center):
+    source.drop("pc_a", "s1", 20240101, [(1, 1, "I", 0)], V1)
+    source.publish()
+    assert run_incremental_load(center, ctx(1))["state"] == "success"
+    source.drop("pc_a", "s2", 20240102, [(1, 2, "U", 2**40), (2, 2, "I", 0)], V1.replace("beanversion int", "beanversion bigint"))
+    source.publish()
+    assert run_incremental_load(center, ctx(2))["state"] == "success"
+    assert merged(center, "pc_a") == [(1, 2, 2**40, "N"), (2, 2, 0, "N")]
+
+
+def test_a_null_key_fails_its_table_each_time(source, center):
+    source.drop("pc_a", "s1", 20240101, [(1, 1, "I", 0), (None, 1, "I", 0)], V1)
+    source.publish()
+    for batch in (1, 2, 3):
+        layer, text = run_incremental_load(center, ctx(batch))["failures"]["pc_a"]
+        assert layer == "mrg" and "null key" in text
+    assert center.merged("pc_a").latest() is None
+
+
 def test_initial_mode_starts_anew(source, center):
     source.drop("pc_a", "s1", 20240101, [(1, 1, "I", 0)], V1)
     source.publish()
@@ -182,7 +279,7 @@ def test_one_failure_among_many_tables_does_not_stop_the_run(center, monkeypatch
             raise RuntimeError("bad!")
 
     monkeypatch.setattr(incremental, "LOADERS", {"raw": load})
-    tables = [TableRun({"table_name": f"pc_{i}", "load_raw": True, "raw_status": "x"}, {"raw_failed": None}) for i in range(6)]
+    tables = [TableRun({"table_name": f"pc_{i}", "load_raw": True, "raw_status": "x"}, {}) for i in range(6)]
     run_layer(center, tables, "raw", ctx(1))
     assert [t.name for t in tables if t.failed] == ["pc_3"]
     assert all("raw" in t.done for t in tables if t.name != "pc_3")

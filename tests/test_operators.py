@@ -16,6 +16,7 @@ from tideline.operators.history import latest_per_key
 from tideline.operators.paging import page_rows
 from tideline.operators.upsert import action_counts, merge_into, src, tgt, truncate, update_from, update_where, upsert
 from tideline.plans import layers, load_plan
+from tideline.plans.outbox import OutboxSource
 from tideline.sources.manifest import read_manifest
 from tideline.sources.objects import archive_candidates, object_listing, object_listing_by_folder, read_changes
 from tideline.sources.replica import catalog_tables, column_metadata, read_tagged, union_tagged
@@ -247,17 +248,20 @@ def test_outbox_job_sends_each_pending_row_once(spark, tmp_path):
     log = tmp_path / "sent"
     log.mkdir()
 
-    def send(batch):
+    def send(chunks):
+        batch = [row for chunk in chunks for row in chunk]
         assert set(batch[0]) == {"name"}
         first = batch[0]["name"]
         with open(log / f"{first}-{len(batch)}", "a") as out:
             out.write("sent ")
         if first == "n0":
-            raise ConnectionError
+            raise ConnectionError("no answer")
         return first != "n21"
 
     waiting = sorted(r[0] for r in data if r[2] in ("NEW", "FAILURE") and r[3] < 3)
-    outcomes = outbox_job(table, send, page_size=10)
+    errors = str(tmp_path / "errors")
+    outcomes = outbox_job(table, send, page_size=10, source=OutboxSource(columns=("name",)), errors=errors)
+    assert rows(spark.read.parquet(errors), "batch_no", "rows", "error") == [(0, 10, "ConnectionError: no answer")]
     pages = [waiting[i : i + 10] for i in range(0, len(waiting), 10)]
     assert sorted(p.name for p in log.iterdir()) == sorted(f"n{p[0]}-{len(p)}" for p in pages)
     assert {p.read_text() for p in log.iterdir()} == {"sent "}
@@ -294,9 +298,9 @@ def test_both_listings_see_the_same_data_files(spark, drop):
 
 
 def test_read_changes_prunes_files_outside_the_window(spark, drop):
-    window = read_changes(spark, drop, "pc_a", "s1", 3, 5)
+    window = read_changes(spark, drop, "pc_a", "s1", 3, 5, ["3", "5"])
     assert {r["v"] for r in window.collect()} == {5} and {r["cda_folder"] for r in window.collect()} == {5}
-    assert read_changes(spark, drop, "pc_a", "s1", None, 5).count() == 8
+    assert read_changes(spark, drop, "pc_a", "s1", None, 5, ["3", "5"]).count() == 8
     window.write.format("noop").mode("overwrite").save()
     scans = window._jdf.queryExecution().executedPlan().collectLeaves()
     files = [scans.apply(i).metrics().get("numFiles") for i in range(scans.size())]

@@ -16,7 +16,7 @@ def is_data_file(key: Column) -> Column:
 
 def stem(name: Column) -> Column:
     """The name without its last extension; a leading dot is not an extension."""
-    return F.regexp_replace(name, r"^(.+)\.[^.]+$", "$1")
+    return F.when(F.contains(name, F.lit(".")), F.regexp_replace(name, r"^(.+)\.[^.]+$", "$1")).otherwise(name)
 
 
 def path_parts(key: Column) -> dict[str, Column]:

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: characters kept of a notification body.
-NOTICE_LIMIT = 1500
-
 
 def last_line(text: Column) -> Column:
     """The last line, a closing line break aside."""
@@ -18,8 +15,9 @@ def last_line(text: Column) -> Column:
     return F.substring_index(body, "\n", -1)
 
 
-def cut(text: Column, limit: int = NOTICE_LIMIT) -> Column:
-    return F.substr(text, F.lit(1), F.lit(limit))
+def cut(text: Column, limit: int | None) -> Column:
+    """The first `limit` characters; all of them without a limit."""
+    return text if limit is None else F.substr(text, F.lit(1), F.lit(limit))
 
 
 def json_payload(columns: Sequence[str]) -> Column:
@@ -27,6 +25,7 @@ def json_payload(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def sequence_text(value: Column, width: int = 32) -> Column:
-    """Hexadecimal sequence text in a form whose text order is its numeric order."""
-    return F.lpad(F.upper(value), width, "0")
+def hex_order(value: Column) -> Column:
+    """A sort value of hexadecimal text: numbers in order, whatever their width, case, `0x` or leading zeros."""
+    digits = F.regexp_replace(F.upper(value), "^(0X)?0*", "")
+    return F.struct(F.char_length(digits).alias("digits"), digits.alias("text"))

@@ -5,7 +5,7 @@ The incremental load is `tideline.plans.incremental.run_incremental_load`.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,12 +98,23 @@ def reconciliation_job(
     return comparison, reconciliation.variance_report(comparison)
 
 
-def outbox_job(table: VersionedTable, send: Callable[[list[dict]], bool], page_size: int = outbox.PAGE_SIZE) -> dict:
-    """Deliver the pending rows of an outbox table page by page and write the answers back."""
+def outbox_job(
+    table: VersionedTable,
+    send: Callable[[Iterator[list[dict]]], bool],
+    page_size: int = outbox.PAGE_SIZE,
+    source: outbox.OutboxSource = outbox.OutboxSource(),
+    errors: str | None = None,
+) -> dict:
+    """Deliver the pending rows of a source's outbox table page by page and write the answers back.
+
+    `errors` is a folder to which the batches without an answer are appended with their error text.
+    """
     rows = table.read()
-    paged = outbox.batches(rows, page_size=page_size)
-    outcomes = outbox.deliver(paged, send)
-    table.write(outbox.write_back(rows, paged, outcomes))
+    paged = outbox.batches(rows, source.identity, page_size)
+    outcomes = outbox.deliver(paged, send, source)
+    table.write(outbox.write_back(rows, paged, outcomes, source.identity))
+    if errors:
+        outcomes.where(F.col("outcome") == outbox.BROKEN).write.mode("append").parquet(errors)
     return {r["outcome"]: r["count"] for r in outcomes.groupBy("outcome").count().collect()}
 
 

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(changes: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the one with the greatest `order` values (a total order per key).
+def latest_per_key(changes: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """One row per key, the one with the greatest `order` values (a total order per key): columns or expressions.
 
     Spark turns the filter on the row number into a group limit in the map tasks, so a key
     with a large share of all changes sends at most one row per task. At 12 million changes
     this took 2.5 s against 4.3 s for `max_by` over a struct, which sorts and copies rows.
     """
-    newest_first = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
+    newest_first = Window.partitionBy(*key).orderBy(*[(F.col(c) if isinstance(c, str) else c).desc() for c in order])
     return changes.withColumn("_n", F.row_number().over(newest_first)).where(F.col("_n") == 1).drop("_n")

@@ -6,10 +6,15 @@ Payload tables differ in their columns, so each has its own Spark jobs; a small
 threads submits them side by side. Each layer runs for all planned tables, then its
 audit decides which tables go on.
 
-Layout below the center's root: `raw/{table}/load={first batch}/schema_id={id}/batch={batch}`,
-`stg/{table}/load={first batch}/batch={batch}`, `mrg/{table}/version={n}`,
-`control/{name}/version={n}`, `log/{name}`. A new initial load of a layer starts a new
-`load` folder, so nothing is deleted.
+Layout below the center's root: `raw/{table}/load={n}/attempt={n}/schema_id={id}`,
+`stg/{table}/load={n}/attempt={n}`, `mrg/{table}/version={n}`, `control/{name}/version={n}`, `log/{name}`.
+A new initial load of a layer starts a new `load` folder and every attempt a folder of its own, so
+nothing is deleted or written twice.
+
+A run may be repeated under the same or another batch id, whatever stopped the one before: a layer
+takes in exactly the attempts that the progress table names, and an attempt is named there once its
+audit has passed, before its status becomes `completed`. What a stopped run left behind is named
+nowhere. A merged version is published to readers after its audit.
 """
 
 from __future__ import annotations
@@ -38,13 +43,12 @@ STATUS = (
     "layer string, table_name string, batch_id bigint, status string,"
     " row_insert_tms timestamp_ntz, row_update_tms timestamp_ntz"
 )
-# How far each table is: the batch each layer has taken in, batches whose load failed, the
+# How far each table is: the sound attempts of a layer that the next one has not taken in, the
 # size and newest folder of the raw layer, and the merged version that counts.
 PROGRESS = (
-    "table_name string, raw_load bigint, raw_batch bigint, raw_failed array<bigint>, raw_rows bigint, raw_folder bigint,"
-    " stg_load bigint, stg_batch bigint, stg_failed array<bigint>, mrg_batch bigint, mrg_version bigint"
+    "table_name string, raw_load bigint, raw_ready array<bigint>, raw_rows bigint, raw_folder bigint,"
+    " stg_load bigint, stg_ready array<bigint>, mrg_version bigint"
 )
-MAX_FOLDERS = 100_000
 COUNTS = "table_name string, layer string, row_count bigint, cda_folder string"
 
 
@@ -63,13 +67,15 @@ class Center:
     order: tuple[str, ...] = ("seqval",)
     operation: str = "operation"
     parallel_tables: int = 8
+    hexadecimal: tuple[str, ...] = ()
     buckets: int = 0
+    step_names: dict[str, str] | None = None
 
     def control(self, name: str, schema: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/control/{name}", StructType.fromDDL(schema))
 
     def merged(self, table_name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/mrg/{table_name}", key=self.key, buckets=self.buckets)
+        return VersionedTable(self.spark, f"{self.root}/mrg/{table_name}", key=self.key, buckets=self.buckets, marker="_PUBLISHED")
 
     def append_log(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.root}/log/{name}")
@@ -81,7 +87,7 @@ class TableRun:
 
     plan: Row
     progress: dict
-    folders: dict[str, list[str] | None] = field(default_factory=dict)
+    folders: dict[str, list[str]] = field(default_factory=dict)
     counts: list[tuple] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
     done: set[str] = field(default_factory=set)
@@ -100,69 +106,78 @@ class TableRun:
         self.counts.append((self.name, layer, rows, folder))
 
 
-def waiting_batches(path: str, mark: int | None, failed: list[int] | None) -> list[str]:
-    """Folders of batches behind the mark, failed ones left out."""
-    numbered = {int(number): folder for number, folder in subfolders(path, "batch").items()}
-    return [folder for n, folder in sorted(numbered.items()) if (mark is None or n > mark) and n not in (failed or [])]
+def next_number(path: str, name: str) -> int:
+    """A number for a new folder `name=n` that none below the path has."""
+    return max(map(int, subfolders(path, name)), default=0) + 1
 
 
 def load_raw(center: Center, table: TableRun, ctx: RunContext) -> None:
     """The new folders of every schema id as they are; each schema id keeps its own columns."""
-    progress = table.progress
+    progress, root = table.progress, f"{center.root}/raw/{table.name}"
     if table.is_initial("raw") or progress["raw_load"] is None:
-        progress.update(raw_load=ctx.batch_id, raw_rows=0, raw_folder=None, raw_failed=None)
+        progress.update(raw_load=next_number(root, "load"), raw_rows=0, raw_folder=None, raw_ready=[])
+    load = f"{root}/load={progress['raw_load']}"
+    attempt = next_number(load, "attempt")
     low, high = progress["raw_folder"], table.plan["src_cda_folder"]
     for schema_id, names in table.folders.items():
         changes = read_changes(center.spark, center.source_root, table.name, schema_id, low, high, names)
-        path = f"{center.root}/raw/{table.name}/load={progress['raw_load']}/schema_id={schema_id}/batch={ctx.batch_id}"
-        layers.raw_load(changes, ctx).write.mode("overwrite").parquet(path)
+        path = f"{load}/attempt={attempt}/schema_id={schema_id}"
+        layers.raw_load(changes, ctx).write.parquet(path)
         rows, newest = center.spark.read.parquet(path).agg(F.count(F.lit(1)), F.max("cda_folder")).first()
         progress["raw_rows"] += rows
         progress["raw_folder"] = max(progress["raw_folder"] or 0, newest or 0)
-    progress["raw_batch"] = ctx.batch_id
+    if table.folders:
+        progress["raw_ready"] = [*(progress["raw_ready"] or []), attempt]
     table.count("raw", progress["raw_rows"], str(progress["raw_folder"]))
 
 
 def load_stage(center: Center, table: TableRun, ctx: RunContext) -> None:
-    """Raw rows of all batches not staged yet, aligned to the newest schema version."""
-    progress, spark = table.progress, center.spark
+    """Raw rows of all sound attempts not staged yet, with the columns of every schema version."""
+    progress, spark, root = table.progress, center.spark, f"{center.root}/stg/{table.name}"
+    if progress["raw_load"] is None:
+        raise ValueError("the raw layer holds nothing to stage")
     if table.is_initial("stg") or progress["stg_load"] is None:
-        progress.update(stg_load=ctx.batch_id, stg_batch=None, stg_failed=None)
-    versions = {}
-    for schema_id, path in subfolders(f"{center.root}/raw/{table.name}/load={progress['raw_load']}", "schema_id").items():
-        paths = waiting_batches(path, progress["stg_batch"], progress["raw_failed"])
-        if paths:
-            versions[schema_id] = spark.read.parquet(*paths)
+        progress.update(stg_load=next_number(root, "load"), stg_ready=[])
+    versions: dict[str, list[str]] = {}
+    for attempt in progress["raw_ready"] or []:
+        raw = f"{center.root}/raw/{table.name}/load={progress['raw_load']}/attempt={attempt}"
+        for schema_id, path in subfolders(raw, "schema_id").items():
+            versions.setdefault(schema_id, []).append(path)
     if versions:
-        newest = versions.get(table.plan["src_cda_schema_id"]) or list(versions.values())[-1]
-        restamped = [frame.withColumn("batchid", ctx.batch) for frame in versions.values()]
-        path = f"{center.root}/stg/{table.name}/load={progress['stg_load']}/batch={ctx.batch_id}"
-        layers.stage_load(restamped, ctx.batch_id, newest.schema).write.mode("overwrite").parquet(path)
-        table.count("raw", sum(frame.count() for frame in versions.values()))
-        table.count("stg", spark.read.parquet(path).count())
-    progress["stg_batch"] = ctx.batch_id
+        frames = {i: layers.union_of([spark.read.parquet(p) for p in paths]) for i, paths in versions.items()}
+        named = frames.get(table.plan["src_cda_schema_id"])
+        newest = named if named is not None else layers.union_of(list(frames.values()))
+        restamped = [frame.withColumn("batchid", ctx.batch) for frame in frames.values()]
+        load = f"{root}/load={progress['stg_load']}"
+        attempt = next_number(load, "attempt")
+        layers.stage_load(restamped, ctx.batch_id, newest.schema).write.parquet(f"{load}/attempt={attempt}")
+        table.count("raw", sum(frame.count() for frame in frames.values()))
+        table.count("stg", spark.read.parquet(f"{load}/attempt={attempt}").count())
+        progress["stg_ready"] = [*(progress["stg_ready"] or []), attempt]
+    progress["raw_ready"] = []
 
 
 def load_merge(center: Center, table: TableRun, ctx: RunContext) -> None:
-    """Staged rows of all batches not merged yet, into a new version of the merged table."""
+    """Staged rows of all sound attempts not merged yet, into a new version that is not published yet."""
     progress, spark, key = table.progress, center.spark, list(center.key)
+    if progress["stg_load"] is None:
+        raise ValueError("the stage layer holds nothing to merge")
     if table.is_initial("mrg"):
-        progress.update(mrg_batch=None, mrg_version=None)
-    stage = f"{center.root}/stg/{table.name}/load={progress['stg_load']}"
-    paths = waiting_batches(stage, progress["mrg_batch"], progress["stg_failed"])
-    if paths:
-        staged = spark.read.option("mergeSchema", "true").parquet(*paths)
+        progress.update(mrg_version=None)
+    load = f"{center.root}/stg/{table.name}/load={progress['stg_load']}"
+    if progress["stg_ready"]:
+        staged = layers.union_of([spark.read.parquet(f"{load}/attempt={n}") for n in progress["stg_ready"]])
         target = center.merged(table.name)
         known = progress["mrg_version"]
         before = layers.empty_merged(staged) if known is None else target.read(known)
-        added = {f.name: F.lit(None).cast(f.dataType) for f in staged.schema.fields if f.name not in before.columns}
-        before = before.withColumns(added)
-        merged = layers.merge_load(before, staged, ctx, key=key, order=list(center.order), operation=center.operation)
+        merged = layers.merge_load(
+            before, staged, ctx, key=key, order=list(center.order), operation=center.operation, hexadecimal=center.hexadecimal
+        )
         progress["mrg_version"] = target.write(merged)
         new_keys = staged.select(*key).distinct().join(before.select(*key), key, "left_anti").count()
         table.count("mrg", target.read(progress["mrg_version"]).count())
         table.count("expected", before.count() + new_keys)
-    progress["mrg_batch"] = ctx.batch_id
+    progress["stg_ready"] = []
 
 
 LOADERS = {"raw": load_raw, "stg": load_stage, "mrg": load_merge}
@@ -186,8 +201,8 @@ def audit(center: Center, tables: list[TableRun], layer: str, ctx: RunContext) -
 def run_layer(center: Center, tables: list[TableRun], layer: str, ctx: RunContext) -> None:
     """Load one layer of every table that has it to do, then audit it.
 
-    A failure stops that table only. Its progress stays where it was, so the next run
-    loads the same rows again, and the failed batch is left out from then on.
+    A failure stops that table only. Its progress stays where it was, so the next run loads the same
+    rows again, in an attempt of its own.
     """
     running = [t for t in tables if t.runs(layer)]
     before = {t.name: dict(t.progress) for t in running}
@@ -207,12 +222,30 @@ def run_layer(center: Center, tables: list[TableRun], layer: str, ctx: RunContex
     for table in running:
         if table.failed:
             table.progress = before[table.name]
-            if layer != "mrg":
-                table.progress[f"{layer}_failed"] = [*(table.progress[f"{layer}_failed"] or []), ctx.batch_id]
         else:
             table.done.add(layer)
 
 
+def write_progress(center: Center, tables: list[TableRun], layer: str) -> None:
+    """Commit how far the tables that finished a layer are, then publish their merged versions.
+
+    A run that stops between the two publishes with the next one, which finds nothing to merge.
+    """
+    done = [t for t in tables if layer in t.done]
+    if not done:
+        return
+    names = StructType.fromDDL(PROGRESS).names
+    progress = center.control("progress", PROGRESS)
+    reached = center.spark.createDataFrame([tuple(t.progress[n] for n in names) for t in done], PROGRESS)
+    progress.write(
+        upsert(progress.read(), reached, ["table_name"], update={n: src(n) for n in names[1:]}, unique_source=True)
+    )
+    if layer == "mrg":
+        for table in done:
+            if table.progress["mrg_version"] is not None:
+                center.merged(table.name).publish(table.progress["mrg_version"])
+
+
 def _write_status(center: Center, rows: list[tuple], ctx: RunContext) -> None:
     if rows:
         status = center.control("load_status", STATUS)
@@ -220,12 +253,12 @@ def _write_status(center: Center, rows: list[tuple], ctx: RunContext) -> None:
         status.write(layers.apply_outcomes(status.read(), outcomes, ctx))
 
 
-def raw_windows(center: Center, plan: DataFrame, progress: DataFrame) -> dict[str, dict[str, list[str] | None]]:
+def raw_windows(center: Center, plan: DataFrame, progress: DataFrame) -> dict[str, dict[str, list[str]]]:
     """Folders to load per planned table and schema id: above what the raw layer holds, up to the manifest.
 
     The window starts at the raw layer's newest folder rather than at the loaded manifest, which
-    has advanced already when a failed raw load is repeated. Up to MAX_FOLDERS names come to the
-    driver; beyond that only the schema ids do, and the scans find the folders themselves.
+    has advanced already when a failed raw load is repeated. The names of the window's folders come to
+    the driver, which opens them by name: new folders, not those of all history.
     """
     roots = plan.where("load_raw").select(F.concat(F.lit(f"{center.source_root}/"), "table_name").alias("folder"))
     parts = F.split("folder", "/")
@@ -241,16 +274,10 @@ def raw_windows(center: Center, plan: DataFrame, progress: DataFrame) -> dict[st
         F.when(F.col("raw_status") != "initial", F.col("raw_folder")).alias("dest_cda_folder"),
         "src_cda_folder",
     )
-    window = load_plan.folder_window(found, bounds).checkpoint()
-    few = window.limit(MAX_FOLDERS + 1).count() <= MAX_FOLDERS
-    names = window if few else window.select("table_name", "cda_schema_id").distinct().withColumn("cda_timestamp", F.lit(None))
-    result: dict[str, dict[str, list[str] | None]] = {}
-    for row in names.orderBy("table_name", "cda_schema_id", "cda_timestamp").collect():
-        by_id = result.setdefault(row["table_name"], {})
-        if row["cda_timestamp"] is None:
-            by_id[row["cda_schema_id"]] = None
-        else:
-            by_id.setdefault(row["cda_schema_id"], []).append(row["cda_timestamp"])
+    window = load_plan.folder_window(found, bounds).select("table_name", "cda_schema_id", "cda_timestamp")
+    result: dict[str, dict[str, list[str]]] = {}
+    for name, schema_id, folder in sorted(map(tuple, window.collect())):
+        result.setdefault(name, {}).setdefault(schema_id, []).append(folder)
     return result
 
 
@@ -262,9 +289,9 @@ def register(center: Center, plan: DataFrame, new_manifest: DataFrame, ctx: RunC
         status.read(), load_plan.touched_layers(plan), ctx, with_action=True
     ).checkpoint()
     manifests = load_plan.upsert_manifest(manifest.read(), entries, ctx, with_action=True).checkpoint()
-    center.append_log("process", load_plan.arrival_log(statuses, manifests, center.schema_names, ctx))
     status.write(statuses.drop("_action"))
     manifest.write(manifests.drop("_action"))
+    center.append_log("process", load_plan.arrival_log(statuses, manifests, center.schema_names, ctx))
 
 
 def run_incremental_load(center: Center, ctx: RunContext, *, is_initial: bool = False) -> dict:
@@ -306,19 +333,16 @@ def run_incremental_load(center: Center, ctx: RunContext, *, is_initial: bool =
     for layer in LAYERS:
         _write_status(center, [(layer, t.name, "started") for t in tables if t.runs(layer)], ctx)
         run_layer(center, tables, layer, ctx)
+        write_progress(center, tables, layer)
         outcomes = [(layer, t.name, "failed") for t in tables if layer in t.failed]
         outcomes += [(layer, t.name, "completed") for t in tables if layer in t.done]
         _write_status(center, outcomes, ctx)
 
-    reached = spark.createDataFrame([tuple(t.progress[n] for n in names) for t in tables], PROGRESS)
-    progress.write(
-        upsert(progress.read(), reached, ["table_name"], update={n: src(n) for n in names[1:]}, unique_source=True)
-    )
     failures = [(layer, t.name, text) for t in tables for layer, text in t.failed.items()]
     report = None
     if failures:
         frame = spark.createDataFrame(failures, "layer string, table_name string, error_message string")
-        logged = layers.error_log(frame, ctx, center.schema_names).withColumn("core_center", F.lit(center.core_center))
+        logged = layers.error_log(frame, ctx, center.schema_names, center.step_names).withColumn("core_center", F.lit(center.core_center))
         center.append_log("error", logged.drop("core_center"))
         report = failure_report(logged.withColumnRenamed("job_name", "procedure_name")).first()["notice"]
     return {

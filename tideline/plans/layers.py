@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tideline.context import RunContext
+from tideline.functions.texts import hex_order
 from tideline.operators.history import latest_per_key
-from tideline.operators.joins import broadcast_if_small
 from tideline.operators.upsert import src, tgt, update_from, upsert
 from tideline.plans.load_plan import LAYERS, name_of_layer
 
 META_COLUMNS = ["batchid", "row_insert_tms", "row_update_tms"]
 
-# The step names written to logs, by layer.
-STEP_NAMES = {"raw": "SP_PROCESS_RAW_TABLE", "stg": "SP_PROCESS_STG_TABLE", "mrg": "SP_PROCESS_MRG_TABLE"}
+# The step names written to logs, by layer, where the caller gives none.
+STEP_NAMES = {"raw": "load_raw", "stg": "load_stage", "mrg": "load_merge"}
 
 
 def in_window(changes: DataFrame, plan: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def in_window(changes: DataFrame, plan: DataFrame) -> DataFrame:
         F.col("table_name"), F.coalesce("dest_cda_folder", F.lit(0)).alias("_low"), F.col("src_cda_folder").alias("_high")
     )
     return (
-        changes.join(broadcast_if_small(bounds), "table_name")
+        changes.join(bounds, "table_name")
         .where((F.col("cda_folder") > F.col("_low")) & (F.col("cda_folder") <= F.col("_high")))
         .select(*changes.columns)
     )
@@ -41,14 +41,29 @@ def raw_load(changes: DataFrame, ctx: RunContext) -> DataFrame:
 def stage_load(raw: Sequence[DataFrame] | DataFrame, batch_id: int, schema: StructType) -> DataFrame:
     """The batch's rows of every schema version, aligned to one schema.
 
-    Columns a version lacks are null, columns the schema lacks are dropped. No row is
-    dropped here: the audit compares this count with the raw count.
+    The columns of `schema` come first, others of any version after them; a column a version lacks is null,
+    and a column whose type differs takes the wider one. No row is dropped here: the audit compares this
+    count with the raw count.
     """
     versions = [raw] if isinstance(raw, DataFrame) else list(raw)
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), versions)
-    rows = rows.where(F.col("batchid") == F.lit(batch_id))
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in rows.columns}
-    return rows.withColumns(missing).to(schema)
+    rows = union_of(versions)
+    rows = widened(rows.where(F.col("batchid") == F.lit(batch_id)), schema)
+    return rows.select(*schema.names, *[c for c in rows.columns if c not in schema.names])
+
+
+def union_of(frames: Sequence[DataFrame]) -> DataFrame:
+    """All rows, with every column of any frame; differing types take the wider one."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def widened(frame: DataFrame, schema: StructType) -> DataFrame:
+    """The frame with the columns of `schema` it lacks as nulls, and shared columns in the wider type of both."""
+    other = frame.sparkSession.createDataFrame([], schema)
+    wide = {f.name: f.dataType for f in frame.limit(0).unionByName(other, allowMissingColumns=True).schema.fields}
+    have = {f.name: f.dataType for f in frame.schema.fields}
+    changes = {c: F.col(c).cast(kind) for c, kind in wide.items() if c in have and have[c] != kind}
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in have}
+    return frame.withColumns(changes | missing)
 
 
 def delete_flag(operation: Column) -> Column:
@@ -63,6 +78,7 @@ def merge_load(
     key: Sequence[str] = ("id",),
     order: Sequence[str] = ("seqval",),
     operation: str = "operation",
+    hexadecimal: Sequence[str] = (),
     **options,
 ) -> DataFrame:
     """The merged table after a batch: newest change per key, deletes kept with flag `Y`.
@@ -70,10 +86,20 @@ def merge_load(
     A change is applied only if it is later than the row it meets, so the result does
     not depend on how changes are split into batches or on repeated batches. Equal
     `order` values of one key count as the same change: pass enough columns for a
-    total order.
+    total order. `order` columns named in `hexadecimal` hold numbers as hexadecimal text and
+    compare as numbers. A null key fails the job, since it would meet nothing and be added again by
+    each repeat. Columns that only the changes have are added, and a column takes the wider type
+    of both sides.
     """
-    newest = latest_per_key(changes.drop(*META_COLUMNS), list(key), list(order))
-    stamped = newest.withColumns(
+
+    def rank(column: str, at: Callable[[str], Column]) -> Column:
+        return hex_order(at(column)) if column in hexadecimal else at(column)
+
+    newest = latest_per_key(changes.drop(*META_COLUMNS), list(key), [rank(c, F.col) for c in order])
+    merged = widened(merged, newest.schema)
+    has_null = F.array_contains(F.array(*[F.col(k).isNull() for k in key]), F.lit(True))
+    sound = F.when(~has_null, F.lit(True)).otherwise(F.raise_error(F.lit("null key in changes")).cast("boolean"))
+    stamped = newest.where(sound).withColumns(
         {
             "gw_delete_flag": delete_flag(F.col(operation)),
             "batchid": ctx.batch,
@@ -82,7 +108,7 @@ def merge_load(
         }
     )
     changing = [c for c in merged.columns if c in stamped.columns and c not in key and c != "row_insert_tms"]
-    later = F.struct(*[src(c) for c in order]) > F.struct(*[tgt(c) for c in order])
+    later = F.struct(*[rank(c, src) for c in order]) > F.struct(*[rank(c, tgt) for c in order])
     return upsert(
         merged, stamped, list(key),
         update={c: src(c) for c in changing}, update_when=later, unique_source=True, **options,
@@ -187,14 +213,16 @@ def audit_failures(audit: DataFrame, schema_names: dict[str, str]) -> DataFrame:
     )
 
 
-def error_log(failures: DataFrame, ctx: RunContext, schema_names: dict[str, str]) -> DataFrame:
+def error_log(
+    failures: DataFrame, ctx: RunContext, schema_names: dict[str, str], step_names: dict[str, str] | None = None
+) -> DataFrame:
     """Failed checks as rows of the error log."""
     return failures.select(
         ctx.batch.alias("batchid"),
         F.lit(ctx.day).alias("day_id"),
         "error_message",
         F.lit("N/A").alias("error_sql"),
-        name_of_layer(F.col("layer"), STEP_NAMES).alias("job_name"),
+        name_of_layer(F.col("layer"), step_names or STEP_NAMES).alias("job_name"),
         ctx.now.alias("row_insert_tms"),
         name_of_layer(F.col("layer"), schema_names).alias("schema_name"),
         "table_name",

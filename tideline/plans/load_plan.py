@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tideline.context import RunContext
 from tideline.functions.names import HEARTBEAT
-from tideline.operators.joins import broadcast_if_small
 from tideline.operators.upsert import src, tgt, truncate, upsert
 
 LAYERS = ("raw", "stg", "mrg")
@@ -100,7 +99,7 @@ def folder_window(folders: DataFrame, plan: DataFrame) -> DataFrame:
     )
     stamp = F.col("cda_timestamp").cast("bigint")
     return (
-        folders.join(broadcast_if_small(bounds), "table_name")
+        folders.join(bounds, "table_name")
         .where((stamp > F.col("_low")) & (stamp <= F.col("_high")))
         .drop("_low", "_high")
     )

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from tideline.context import RunContext, ensure_checkpoint_dir
 from tideline.functions.arrays import append_when, no_strings, or_empty, symmetric_difference
 from tideline.functions.names import BLOCKED_PATTERNS, matches_any
-from tideline.functions.texts import NOTICE_LIMIT
-from tideline.operators.joins import broadcast_if_small
 from tideline.operators.upsert import src, tgt, update_from
 from tideline.plans.reports import notices
 
@@ -195,7 +193,7 @@ def record_comparison(
         F.col("beanversion").cast("string").alias("replica_beanversion"),
     )
     if candidates is not None:
-        wanted = broadcast_if_small(candidates.select("table_name").distinct())
+        wanted = candidates.select("table_name").distinct()
         left = left.join(wanted, "table_name", "left_semi")
         right = right.join(wanted, "table_name", "left_semi")
 
@@ -262,7 +260,6 @@ def variance_report(comparison: DataFrame) -> DataFrame:
     return comparison.where(shown).select("schema_name", "table_name", variance.alias("exclusion_reason"), text.alias("text"))
 
 
-def variance_notice(report: DataFrame, limit: int = NOTICE_LIMIT) -> DataFrame:
+def variance_notice(report: DataFrame, limit: int | None = None) -> DataFrame:
     """One notification text per schema."""
-    # The labels of a block and the shortest reason are longer than this.
-    return notices(report, "schema_name", ["table_name"], F.col("text"), shortest=40, limit=limit)
+    return notices(report, "schema_name", ["table_name"], F.col("text"), limit)

@@ -4,32 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.texts import NOTICE_LIMIT, cut, last_line
+from tideline.functions.texts import cut, last_line
 
 SEPARATOR = "\n\n\n"
 
 
-def notices(
-    entries: DataFrame, group: str, order: Sequence[str], block: Column, *, shortest: int, limit: int = NOTICE_LIMIT
-) -> DataFrame:
-    """Per group the number of entries and their blocks joined in order, cut to `limit` characters.
+def notices(entries: DataFrame, group: str, order: Sequence[str], block: Column, limit: int | None = None) -> DataFrame:
+    """Per group the number of entries and all their blocks joined in order.
 
-    `order` should be a total order, so that the text does not depend on the run.
-    `shortest` is a lower bound on the length of a block, so later blocks than the first
-    `keep` cannot reach the text and only those are gathered: Spark keeps the leading rows
-    of each map task and a large group never meets in one place.
+    `order` should be a total order, so that the text does not depend on the run. `limit` cuts the text to so many
+    characters, for a channel that takes no more; what is stored is whole. A group is one text, so it has to fit in a
+    task: entries are failures or variances, one a table at most per step.
     """
-    keep = (limit + len(SEPARATOR)) // (shortest + len(SEPARATOR)) + 1
-    window = Window.partitionBy(group).orderBy(*order)
-    leading = entries.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= keep)
-    texts = leading.groupBy(group).agg(
-        F.array_sort(F.collect_list(F.struct("_n", block.alias("b")))).alias("_blocks")
-    ).select(group, cut(F.array_join(F.col("_blocks.b"), SEPARATOR), limit).alias("notice"))
-    counts = entries.groupBy(group).agg(F.count(F.lit(1)).alias("entry_count"))
-    return counts.join(texts, group)
+    named = {f"_o{i}": F.col(c) for i, c in enumerate(order)}
+    return (
+        entries.select(group, F.struct(*[c.alias(n) for n, c in named.items()], block.alias("b")).alias("_block"))
+        .groupBy(group)
+        .agg(F.count(F.lit(1)).alias("entry_count"), F.array_sort(F.collect_list("_block")).alias("_blocks"))
+        .select(group, "entry_count", cut(F.array_join(F.col("_blocks.b"), SEPARATOR), limit).alias("notice"))
+    )
 
 
 # Fixed value: the rule below an error block.
@@ -40,7 +36,7 @@ def known(value: Column) -> Column:
     return F.coalesce(value, F.lit("None"))
 
 
-def failure_report(errors: DataFrame, group: str = "core_center") -> DataFrame:
+def failure_report(errors: DataFrame, group: str = "core_center", limit: int | None = None) -> DataFrame:
     """One text per core center from failed steps (table_name, procedure_name, error_message)."""
     block = F.concat(
         F.lit("Table Name: "), known(F.col("table_name")),
@@ -48,19 +44,17 @@ def failure_report(errors: DataFrame, group: str = "core_center") -> DataFrame:
         F.lit("\nException: "), known(last_line(F.col("error_message"))),
         F.lit("\n\n" + RULE),
     )
-    # The labels and the rule alone have this many characters.
-    return notices(errors, group, ["table_name", "procedure_name", "error_message"], block, shortest=98)
+    return notices(errors, group, ["table_name", "procedure_name", "error_message"], block, limit)
 
 
-def table_failure_notice(errors: DataFrame) -> DataFrame:
+def table_failure_notice(errors: DataFrame, limit: int | None = None) -> DataFrame:
     """One text per schema from tables that could not be compared (table_name, error_message)."""
     block = F.concat(
         F.lit("Schema Name: "), known(F.col("schema_name")),
         F.lit("\nTable Name: "), known(F.col("table_name")),
         F.lit("\nException: "), known(last_line(F.col("error_message"))), F.lit("\n"),
     )
-    # The labels alone have this many characters.
-    return notices(errors, "schema_name", ["table_name", "error_message"], block, shortest=39)
+    return notices(errors, "schema_name", ["table_name", "error_message"], block, limit)
 
 
 def run_state(plan_rows: int, s3_on: bool, mrg_on: bool, failures: int) -> str:

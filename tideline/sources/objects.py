@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tideline.functions.keys import DATA_SUFFIX, is_data_file
 
+#: Folders opened by one scan.
+FOLDERS_PER_SCAN = 10_000
 LISTING_SCHEMA = "object_key string, size_bytes bigint, last_modified timestamp"
 
 
@@ -94,20 +97,21 @@ def read_changes(
     cda_schema_id: str,
     low: int | None,
     high: int,
-    folders: Sequence[str] | None = None,
+    folders: Sequence[str],
 ) -> DataFrame:
-    """Change rows of one table and schema id from the folders with `low < timestamp <= high`.
+    """Change rows of one table and schema id from the named folders with `low < timestamp <= high`.
 
-    With the window's folders given, only they are listed. Without them the whole schema id
-    is listed; the bound depends on the file path alone, so Spark still drops files outside
-    the window while it plans the scan.
+    The folders are opened by name, `FOLDERS_PER_SCAN` to a scan, so a window of any size lists its own
+    folders only and takes its schema from them. A scan that lacks a column gives nulls.
     """
     base = f"{root.rstrip('/')}/{table_name}/{cda_schema_id}"
     folder = source_folder()
-    return (
+    scans = [
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*" + DATA_SUFFIX)
-        .parquet(*([f"{base}/{name}" for name in folders] if folders else [base]))
+        .parquet(*[f"{base}/{name}" for name in folders[at : at + FOLDERS_PER_SCAN]])
         .where((folder > F.lit(low or 0)) & (folder <= F.lit(high)))
         .withColumn("cda_folder", folder)
-    )
+        for at in range(0, len(folders), FOLDERS_PER_SCAN)
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)

@@ -33,15 +33,23 @@ class VersionedTable:
     schema: StructType | None = None
     key: tuple[str, ...] = ()
     buckets: int = 0
+    #: The file that makes a version count. Spark writes `_SUCCESS`; `_PUBLISHED` waits for `publish`.
+    marker: str = "_SUCCESS"
 
     def latest(self) -> int | None:
-        """The newest version whose write was committed."""
+        """The newest version that counts."""
         for number in sorted(map(int, subfolders(self.path, "version")), reverse=True):
-            store, marker = pafs.FileSystem.from_uri(f"{self._folder(number)}/_SUCCESS")
+            store, marker = pafs.FileSystem.from_uri(f"{self._folder(number)}/{self.marker}")
             if store.get_file_info(marker).type == pafs.FileType.File:
                 return number
         return None
 
+    def publish(self, version: int) -> None:
+        """Let readers have a version, once it is known to be sound. Repeating it does no harm."""
+        store, marker = pafs.FileSystem.from_uri(f"{self._folder(version)}/{self.marker}")
+        with store.open_output_stream(marker):
+            pass
+
     def _folder(self, version: int) -> str:
         return f"{self.path.rstrip('/')}/version={version}"
 
@@ -78,9 +86,11 @@ class VersionedTable:
         The first bucketed version is shuffled by key; later ones come from a merge with a
         bucketed version and lie in their buckets already.
         """
-        version = version or (self.latest() or 0) + 1
+        first = self.latest() is None
+        # Beyond every folder there is, also those of writes that failed: no reader sees it change.
+        version = version or max(map(int, subfolders(self.path, "version")), default=0) + 1
         if self.buckets:
-            placed = frame.repartition(self.buckets, *self.key) if version == 1 else frame
+            placed = frame.repartition(self.buckets, *self.key) if first else frame
             placed.write.mode("overwrite").option("path", self._folder(version)).bucketBy(
                 self.buckets, *self.key
             ).sortBy(*self.key).saveAsTable(self._name(version))

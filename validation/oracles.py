@@ -238,7 +238,7 @@ _SQL["audit_failures"] = FAILURES
 
 _SQL["error_log"] = f"""
 SELECT CAST(4567 AS BIGINT) AS batchid, DATE '2024-02-01' AS day_id, error_message, 'N/A' AS error_sql,
-       'SP_PROCESS_' || upper(layer) || '_TABLE' AS job_name, {RUN_TS} AS row_insert_tms,
+       CASE layer WHEN 'raw' THEN 'load_raw' WHEN 'stg' THEN 'load_stage' ELSE 'load_merge' END AS job_name, {RUN_TS} AS row_insert_tms,
        upper(layer) || '_PC' AS schema_name, table_name
 FROM ({FAILURES})
 """
@@ -276,7 +276,9 @@ WHERE c.cda_folder > coalesce(p.dest_cda_folder, 0) AND c.cda_folder <= p.src_cd
 """
 _SQL["raw_load"] = IN_WINDOW
 _SQL["stage_load"] = f"""
-SELECT * REPLACE (CASE WHEN cda_folder >= 20240116 THEN payload END AS payload) FROM ({IN_WINDOW})
+SELECT * REPLACE (CASE WHEN cda_folder >= 20240116 THEN payload END AS payload),
+       CASE WHEN cda_folder < 20240116 THEN 1 END AS legacy
+FROM ({IN_WINDOW})
 """
 
 
@@ -318,6 +320,14 @@ FROM ({_latest('fx_line_changes', 'l_shipdate DESC, l_linenumber DESC, l_partkey
 JOIN firsts USING (id)
 """
 
+_SQL["merge_load_hex_order"] = _SQL["merge_load_lines_second_batch"]
+
+_SQL["merge_load_widened"] = f"""
+SELECT operation, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines,
+       CASE WHEN operation = 'U' THEN 0 ELSE count(*) END AS with_supplier
+FROM ({_latest('fx_line_changes', 'l_shipdate DESC, l_linenumber DESC, l_partkey DESC')}) GROUP BY operation
+"""
+
 # Names. The patterns as regular expressions over lower-case names.
 
 BLOCKED = (
@@ -467,7 +477,7 @@ _SQL["variance_report"] = REPORT
 
 _SQL["variance_notice"] = f"""
 SELECT schema_name, count(*) AS entry_count,
-       left(string_agg(text, repeat(chr(10), 3) ORDER BY table_name), 1500) AS notice
+       string_agg(text, repeat(chr(10), 3) ORDER BY table_name) AS notice
 FROM ({REPORT}) GROUP BY schema_name
 """
 
@@ -490,6 +500,10 @@ _SQL["outbox_payload"] = f"""
 SELECT identity, CAST(json_object('name', name, 'segment', segment) AS VARCHAR) AS payload FROM ({PENDING})
 """
 
+_SQL["outbox_payload_columns"] = f"""
+SELECT identity, CAST(json_object('segment', segment, 'identity', identity) AS VARCHAR) AS payload FROM ({PENDING})
+"""
+
 _SQL["outbox_writeback"] = f"""
 WITH batches AS ({BATCHES}),
      answers AS (SELECT batch_no, CASE count(*) FILTER (segment IS NULL) % 3 WHEN 0 THEN 'SUCCESS' WHEN 1 THEN 'FAILURE' END AS answer
@@ -552,19 +566,21 @@ SELECT name, used_credits > credit_quota AS over_quota,
 FROM ({BARS})
 """
 
-_SQL["failure_report"] = """
+_REPORT_TEXT = """
 SELECT core_center, count(*) AS entry_count,
-       left(string_agg(format('Table Name: {}{}Procedure Name: {}{}Exception: {}{}{}', table_name, chr(10), procedure_name,
+       {OPEN}string_agg(format('Table Name: {}{}Procedure Name: {}{}Exception: {}{}{}', table_name, chr(10), procedure_name,
                               chr(10), split_part(error_message, chr(10), -1), repeat(chr(10), 2), repeat('*', 56)),
-                       repeat(chr(10), 3) ORDER BY table_name, procedure_name), 1500) AS notice
+                       repeat(chr(10), 3) ORDER BY table_name, procedure_name){CLOSE} AS notice
 FROM fx_errors GROUP BY core_center
 """
+_SQL["failure_report"] = _REPORT_TEXT.replace("{OPEN}", "").replace("{CLOSE}", "")
+_SQL["failure_report_cut"] = _REPORT_TEXT.replace("{OPEN}", "left(").replace("{CLOSE}", ", 1500)")
 
 _SQL["table_failure_notice"] = """
 SELECT schema_name, count(*) AS entry_count,
-       left(string_agg(format('Schema Name: {}{}Table Name: {}{}Exception: {}{}', schema_name, chr(10), table_name, chr(10),
+       string_agg(format('Schema Name: {}{}Table Name: {}{}Exception: {}{}', schema_name, chr(10), table_name, chr(10),
                               split_part(error_message, chr(10), -1), chr(10)),
-                       repeat(chr(10), 3) ORDER BY table_name), 1500) AS notice
+                       repeat(chr(10), 3) ORDER BY table_name) AS notice
 FROM (SELECT 'MRG_' || upper(core_center) AS schema_name, * FROM fx_errors) GROUP BY schema_name
 """
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -305,6 +305,29 @@ def merge_load_lines_second_batch(x: Inputs) -> DataFrame:
     return layers.merge_load(first, changes.where(~in_first), CTX, order=order)
 
 
+@query
+def merge_load_hex_order(x: Inputs) -> DataFrame:
+    """The line changes ordered by a hexadecimal sequence without padding, in two batches."""
+    number = F.datediff("l_shipdate", F.lit("1992-01-01").cast("date")) * 8 + F.col("l_linenumber")
+    rank = number * F.lit(2**33).cast("decimal(20,0)") + F.col("l_partkey") * 2**13 + F.col("l_suppkey")
+    changes = x["fx_line_changes"].withColumn("sequence", F.concat(F.lit("0x"), F.hex(rank.cast("bigint"))))
+    options = {"order": ["sequence"], "hexadecimal": ["sequence"]}
+    in_first = F.col("operation") == "U"
+    first = layers.merge_load(layers.empty_merged(changes), changes.where(in_first), EARLIER, **options)
+    return layers.merge_load(first, changes.where(~in_first), CTX, **options).drop("sequence")
+
+
+@query
+def merge_load_widened(x: Inputs) -> DataFrame:
+    """The first batch holds l_linenumber as int and lacks l_suppkey; the second brings both at full width."""
+    order = ["l_shipdate", "l_linenumber", "l_partkey", "id"]
+    changes = x["fx_line_changes"]
+    old = changes.where(F.col("operation") == "U").withColumn("l_linenumber", F.col("l_linenumber").cast("smallint"))
+    first = layers.merge_load(layers.empty_merged(old.drop("l_suppkey")), old.drop("l_suppkey"), EARLIER, order=order)
+    merged = layers.merge_load(first, changes.withColumn("l_linenumber", F.col("l_linenumber").cast("bigint")), CTX, order=order)
+    return merged.groupBy("operation").agg(F.count("id").alias("n"), F.sum("l_linenumber").alias("lines"), F.count("l_suppkey").alias("with_supplier"))
+
+
 # Names
 
 
@@ -473,14 +496,20 @@ def outbox_payload(x: Inputs) -> DataFrame:
     return outbox.payloads(outbox.pending(x["fx_outbox"])).select("identity", "payload")
 
 
-def receiver() -> Callable[[list[dict]], bool]:
+@query
+def outbox_payload_columns(x: Inputs) -> DataFrame:
+    source = outbox.OutboxSource(columns=("segment", "identity"))
+    return outbox.payloads(outbox.pending(x["fx_outbox"]), source).select("identity", "payload")
+
+
+def receiver() -> Callable[[Iterator[list[dict]]], bool]:
     """Takes, refuses or fails on a batch by the number of its rows without a segment.
 
     Made inside a function so that it travels to the workers by value.
     """
 
-    def send(batch: list[dict]) -> bool:
-        missing = sum(row["segment"] is None for row in batch) % 3
+    def send(chunks: Iterator[list[dict]]) -> bool:
+        missing = sum(row["segment"] is None for chunk in chunks for row in chunk) % 3
         if missing == 2:
             raise ConnectionError("no answer")
         return missing == 0
@@ -490,8 +519,10 @@ def receiver() -> Callable[[list[dict]], bool]:
 
 @query
 def outbox_writeback(x: Inputs) -> DataFrame:
+    """Each source names its columns: one that sends the segment only."""
     paged = outbox.batches(x["fx_outbox"], page_size=PAGE)
-    return outbox.write_back(x["fx_outbox"], paged, outbox.deliver(paged, receiver()))
+    source = outbox.OutboxSource(columns=("segment",))
+    return outbox.write_back(x["fx_outbox"], paged, outbox.deliver(paged, receiver(), source))
 
 
 # Quota and reports
@@ -514,6 +545,12 @@ def failure_report(x: Inputs) -> DataFrame:
     return reports.failure_report(x["fx_errors"])
 
 
+@query
+def failure_report_cut(x: Inputs) -> DataFrame:
+    """As a channel gets it that takes 1500 characters."""
+    return reports.failure_report(x["fx_errors"], limit=1500)
+
+
 @query
 def table_failure_notice(x: Inputs) -> DataFrame:
     schema = F.concat(F.lit("MRG_"), F.upper("core_center"))
