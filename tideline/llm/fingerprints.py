@@ -2,11 +2,11 @@
 
 A paragraph (line) is cut after words chosen by their own hash, about every fourth and every eighth
 at the latest, so that an edit changes the digests near it only; one of up to eight words is cut
-every four characters. The n-th repeat of a piece counts as a piece of its own. A
-digest is added to one cell in each third of a table: cells hold a count and the exclusive or of
-digests and of their check hashes. Subtracting two tables leaves the pieces that differ; peeling
-cells with one piece recovers their digests. Where peeling stops early, both sketches are built
-again four times as large. A fingerprint is the table at its least size, in base64.
+every four bytes. The n-th repeat of a piece counts as a piece of its own. A digest is 48 bits and
+16 that check them; it is added to one cell in each of three rows, which hold counts and the exclusive or
+of digests. Subtracting two tables leaves the pieces that differ; peeling cells with one piece recovers
+their digests. Where too many differ or peeling stops early, both sketches are built again larger. A
+fingerprint is the table at its least size, in base64.
 
 Likeness is the number of shared pieces over that of all pieces, with counts from the tables
 and differences from peeling. Two texts without words are alike (1), a text with and one without are not (0).
@@ -17,22 +17,22 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
-from tideline.llm.common import fresh
-from tideline.llm.neighbours import FIND_WORDS
+from tideline.llm.common import SPACE_CHARS, fresh
 
 EVERY, LONGEST = 4, 8
 LEAST, GROWTH = 16, 4
 ROWS = 256
+BASE = np.uint64(0x2545F4914F6CDD1D)
+POWERS: tuple[np.ndarray, ...] = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+BLANK = np.isin(np.arange(256), list(SPACE_CHARS.encode()))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -42,88 +42,129 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def blocks(words: list[str]) -> list[str]:
-    """A short line as pieces of four characters."""
-    line = " ".join(words)
-    return [line[at : at + 4] for at in range(0, len(line), 4)]
-
-
 def pieces_from(last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where pieces begin, and each word's place in its piece, from the marks of last words."""
     begins = np.concatenate([[0], np.flatnonzero(last[:-1]) + 1])
-    return begins, np.arange(len(last)) - np.repeat(begins, np.diff([*begins, len(last)]))
+    return begins, np.arange(len(last)) - np.repeat(begins, np.concatenate([begins[1:], [len(last)]]) - begins)
+
+
+def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the hash base and of its inverse, at least `count` of them."""
+    global POWERS
+    if len(POWERS[0]) < count:
+        size = 1 << int(np.ceil(np.log2(count + 1)))
+        with np.errstate(over="ignore"):
+            POWERS = tuple(
+                np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, base, np.uint64)]), dtype=np.uint64)
+                for base in (BASE, pow(int(BASE), -1, 1 << 64))
+            )
+    return POWERS
+
+
+def spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and last-of-its-piece mark of each word, or of each four bytes of a short line. Blanks surround the text."""
+    blank = BLANK[raw]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    begins, ends = edges[::2], edges[1::2]
+    if len(begins) == 0:
+        return begins, ends, begins.astype(bool)
+    line = np.searchsorted(np.flatnonzero(raw == 10), begins)
+    head = np.concatenate([[0], np.flatnonzero(line[1:] != line[:-1]) + 1])
+    words = np.concatenate([head[1:], [len(line)]]) - head
+    short = words <= LONGEST
+    tail = head + words - 1
+    ends_line = np.zeros(len(line), bool)
+    ends_line[tail] = True
+    if not short.any():
+        return begins, ends, ends_line
+    first, last = begins[head[short]], ends[tail[short]]
+    blocks = (last - first + 3) // 4
+    at = np.repeat(first, blocks) + 4 * (np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks))
+    stay = ~np.repeat(short, words)
+    begins = np.concatenate([begins[stay], at])
+    order = np.argsort(begins, kind="stable")
+    ends = np.concatenate([ends[stay], np.minimum(at + 4, np.repeat(last, blocks))])
+    marks = np.concatenate([ends_line[stay], np.ones(len(at), bool)])
+    return begins[order], ends[order], marks[order]
 
 
 def digests(text: str) -> np.ndarray:
-    """The distinct piece digests of a whole text, sorted."""
-    lines = [FIND_WORDS.findall(line) for line in text.split("\n")]
-    short = [len(line) <= LONGEST for line in lines]
-    lines = [blocks(line) if few else line for line, few in zip(lines, short)]
-    words = list(chain.from_iterable(lines))
-    if not words:
+    """The distinct piece digests of a whole text: 48 bits of hash and 16 that check them."""
+    raw = np.frombuffer(b" " + text.encode("utf-8", "surrogatepass") + b" ", np.uint8)
+    begins, ends, last = spans(raw)
+    if len(begins) == 0:
         return np.zeros(0, np.uint64)
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-    lengths = np.array([len(line) for line in lines])
-    last = np.repeat(short, lengths) | (hashes % np.uint64(EVERY) == 0)
-    last[np.cumsum(lengths[lengths > 0]) - 1] = True
+    up, down = powers(len(raw))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], dtype=np.uint64)])
+    hashes = mixed((sums[ends] - sums[begins]) * down[begins])
+    last = last | (hashes % np.uint64(EVERY) == 0)
     _, within = pieces_from(last)
     begins, within = pieces_from(last | (within % LONGEST == LONGEST - 1))
     pieces = np.add.reduceat(mixed(hashes + within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), begins)
     pieces.sort()
     firsts = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1]]))
-    repeat = np.arange(len(pieces)) - np.repeat(firsts, np.diff([*firsts, len(pieces)]))
-    return np.unique(mixed(pieces + repeat.astype(np.uint64)))
+    repeat = np.arange(len(pieces)) - np.repeat(firsts, np.concatenate([firsts[1:], [len(pieces)]]) - firsts)
+    keys = np.unique(mixed(pieces + repeat.astype(np.uint64)) >> np.uint64(16))
+    return keys << np.uint64(16) | check(keys)
+
+
+def check(keys: np.ndarray) -> np.ndarray:
+    """16 bits that a digest carries beside its 48."""
+    return mixed(keys + np.uint64(0xA5A5A5A5)) >> np.uint64(48)
 
 
 class Sketch(NamedTuple):
-    """Counts, digests and check hashes of 3 * `size` cells."""
+    """Counts and digests of the cells of three rows, each of a power of two cells."""
 
     counts: np.ndarray
     keys: np.ndarray
-    checks: np.ndarray
 
 
 def cells(keys: np.ndarray, size: int) -> np.ndarray:
-    """The cell of each key in each third."""
-    h = mixed(keys + np.uint64(size))
-    return np.concatenate([((h >> np.uint64(20 * i)) % np.uint64(size)).astype(np.int64) + i * size for i in range(3)])
-
-
-def check(keys: np.ndarray) -> np.ndarray:
-    return (mixed(keys ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(32)).astype(np.uint32)
-
-
-def add(sketch: Sketch, keys: np.ndarray, signs: np.ndarray, size: int) -> None:
-    at = cells(keys, size)
-    np.add.at(sketch.counts, at, np.tile(signs, 3))
-    np.bitwise_xor.at(sketch.keys, at, np.tile(keys, 3))
-    np.bitwise_xor.at(sketch.checks, at, np.tile(check(keys), 3))
+    """The cell of each key in each row."""
+    h = mixed(keys)
+    out = np.empty((3, len(keys)), np.int64)
+    for i in range(3):
+        out[i] = (h >> np.uint64(21 * i)) & np.uint64(size - 1)
+    return out
 
 
 def sketch_of(keys: np.ndarray, size: int) -> Sketch:
-    out = Sketch(np.zeros(3 * size, np.int32), np.zeros(3 * size, np.uint64), np.zeros(3 * size, np.uint32))
-    add(out, keys, np.ones(len(keys), np.int32), size)
+    out = Sketch(np.empty((3, size), np.int64), np.zeros((3, size), np.uint64))
+    for row, at in enumerate(cells(keys, size)):
+        out.counts[row] = np.bincount(at, minlength=size)
+        np.bitwise_xor.at(out.keys[row], at, keys)
     return out
 
 
-def peeled(a: Sketch, b: Sketch) -> tuple[np.ndarray, np.ndarray] | None:
-    """The digests that only the first and only the second hold, or None if peeling stops early."""
-    size = len(a.counts) // 3
-    rest = Sketch(a.counts - b.counts, a.keys ^ b.keys, a.checks ^ b.checks)
+def peeled(a: Sketch, b: Sketch) -> tuple[np.ndarray, np.ndarray] | int:
+    """The digests that only the first and only the second hold, or a size to try if peeling stops early."""
+    size = a.counts.shape[1]
+    counts, rest = a.counts - b.counts, a.keys ^ b.keys
+    # How many pieces differ, from the cells of a row that none has reached.
+    free = size - int(np.count_nonzero(rest[0]))
+    about = size * np.log(size / max(free, 0.5))
+    if about > 1.4 * size:
+        return size * GROWTH if free == 0 else max(size * 2, 1 << int(np.ceil(np.log2(about))))
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    while True:
-        alone = np.flatnonzero(np.abs(rest.counts) == 1)
-        alone = alone[check(rest.keys[alone]) == rest.checks[alone]]
-        if len(alone) == 0:
-            break
-        keys, first = np.unique(rest.keys[alone], return_index=True)
-        signs = rest.counts[alone][first]
-        found.append((keys, signs))
-        add(rest, keys, -signs, size)
-    if rest.counts.any() or rest.keys.any() or rest.checks.any():
-        return None
+    idle = row = 0
+    while idle < 3:
+        # A row holds a piece in one cell only, so what is alone in it is distinct.
+        alone = np.flatnonzero((counts[row] == 1) | (counts[row] == -1))
+        keys = rest[row, alone]
+        true = check(keys >> np.uint64(16)) == keys & np.uint64(0xFFFF)
+        keys, signs = keys[true], counts[row, alone[true]]
+        idle = 0 if len(keys) else idle + 1
+        if len(keys):
+            found.append((keys, signs))
+            for i, at in enumerate(cells(keys, size)):
+                np.subtract.at(counts[i], at, signs)
+                np.bitwise_xor.at(rest[i], at, keys)
+        row = (row + 1) % 3
+    if counts.any() or rest.any():
+        return size * 2
     keys = np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in found]])
-    signs = np.concatenate([np.zeros(0, np.int32), *[s for _, s in found]])
+    signs = np.concatenate([np.zeros(0, np.int64), *[s for _, s in found]])
     return keys[signs == 1], keys[signs == -1]
 
 
@@ -142,23 +183,20 @@ class Document:
 
     def fingerprint(self) -> str:
         least = self.sketch(LEAST)
-        raw = b"".join([least.counts.astype("<i4").tobytes(), least.keys.astype("<u8").tobytes(), least.checks.astype("<u4").tobytes()])
-        return base64.b64encode(raw).decode()
+        return base64.b64encode(least.counts.astype("<i4").tobytes() + least.keys.astype("<u8").tobytes()).decode()
 
 
 def difference(a: Document, b: Document) -> tuple[np.ndarray, np.ndarray]:
-    """The digests only one of them holds, from the smallest sketches that peel."""
+    """The digests only one of them holds, from sketches that grow until they peel."""
     size = LEAST
-    while True:
-        found = peeled(a.sketch(size), b.sketch(size))
-        if found is not None:
-            return found
-        size *= GROWTH
+    while isinstance(found := peeled(a.sketch(size), b.sketch(size)), int):
+        size = found
+    return found
 
 
 def likeness(a: Document, b: Document) -> float:
     only_a, only_b = difference(a, b)
-    count_a, count_b = (int(d.sketch(LEAST).counts.sum()) // 3 for d in (a, b))
+    count_a, count_b = (int(d.sketch(LEAST).counts[0].sum()) for d in (a, b))
     union = count_a + len(only_b)
     return (count_a - len(only_a)) / union if union else float(count_a == count_b)
 
