@@ -330,13 +330,17 @@ def run_incremental_load(center: Center, ctx: RunContext, *, is_initial: bool =
         )
         for row in rows
     ]
-    for layer in LAYERS:
-        _write_status(center, [(layer, t.name, "started") for t in tables if t.runs(layer)], ctx)
+    def started(layer: str) -> list[tuple]:
+        return [(layer, t.name, "started") for t in tables if t.runs(layer)]
+
+    _write_status(center, started(LAYERS[0]), ctx)
+    for layer, following in zip(LAYERS, [*LAYERS[1:], None]):
         run_layer(center, tables, layer, ctx)
         write_progress(center, tables, layer)
         outcomes = [(layer, t.name, "failed") for t in tables if layer in t.failed]
         outcomes += [(layer, t.name, "completed") for t in tables if layer in t.done]
-        _write_status(center, outcomes, ctx)
+        # One write for the end of a layer and the start of the next.
+        _write_status(center, outcomes + (started(following) if following else []), ctx)
 
     failures = [(layer, t.name, text) for t in tables for layer, text in t.failed.items()]
     report = None
