@@ -138,6 +138,16 @@ def test_rules_reject_outliers_and_leave_the_rest(spark):
     assert min(distances[i] for i in range(80, 96)) > max(distances[i] for i in range(80))
 
 
+@pytest.mark.parametrize("copies", [True, False])
+def test_rules_reject_junk_that_is_a_third_of_a_pool(spark, copies):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"{a}{b}" for a in ("an", "the", "ore", "li", "s") for b in ("ta", "mo", "rine", "d", "lk", "eau")]
+    fair = [" ".join(rng.choice(vocabulary, 80)) for _ in range(120)]
+    junk = [" ".join(f"w{0 if copies else i}x{n}$$$%%" for n in range(90)) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(fair + junk)), H.SCHEMA).withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    assert {r["doc_id"] for r in rules.keep_regular(docs).collect()} == set(range(120))
+
+
 def test_rules_whiten_as_numpy(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 5)) @ rng.normal(size=(5, 5))

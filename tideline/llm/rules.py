@@ -2,9 +2,10 @@
 
 Each text gives statistics (counted over the whole text) and from them a vector of five
 transformed ones. Per language and source, a minimum-covariance-determinant estimate is found by
-concentration steps: distances from the estimate so far, the nearest three quarters of the
-texts, their mean and covariance, again. A text is rejected when its squared Mahalanobis distance
-from that estimate passes the cut-off, and before that by the base rules.
+concentration steps: distances from the estimate so far, the nearest half of the texts, their mean
+and covariance, again. They start from medians and median absolute deviations, so junk may make up
+nearly half of a group. A text is rejected when its squared Mahalanobis distance from that estimate
+passes the cut-off, and before that by the base rules.
 
 The covariance gets a floor on its diagonal, since a statistic that is zero for nearly all texts
 has no spread of its own. Groups under `MIN_TEXTS` are pooled by language, and such pools in turn
@@ -24,8 +25,9 @@ from tideline.llm.common import SPACE_CHARS, WORD, fresh, stored
 FLOORS = (0.05, 0.3, 0.25, 0.5, 0.2)
 DIMS = range(len(FLOORS))
 MIN_TEXTS = 50
-SHARE = 0.75
 STEPS = 3
+#: A median absolute deviation as a standard deviation.
+DEVIATION = 1.4826
 #: Quantiles of chi-square with five degrees of freedom: the median and 0.9999.
 MEDIAN, CUTOFF = 4.351, 25.745
 #: Bins per doubling of 1 + squared distance: quantiles are read from counts by bin.
@@ -147,14 +149,19 @@ def moments(rows: DataFrame) -> DataFrame:
     return rows.groupBy("pool").agg(F.count("*").cast("double").alias("n"), *sums, *products)
 
 
-def quantile(rows: DataFrame, share: float, name: str) -> DataFrame:
-    """(pool, name): the upper edge of the distance bin that holds the quantile. Counts by bin, so no sort of a group."""
+def half() -> Column:
+    """The least subset whose estimate resists the most junk: (n + p + 1) / 2 of a pool of n texts."""
+    return F.floor((F.col("all") + len(FLOORS) + 1) / 2)
+
+
+def quantile(rows: DataFrame, needed: Column, name: str) -> DataFrame:
+    """(pool, name): the distance bin by which `needed` texts of the pool are reached. Counts by bin, so no sort of a group."""
     from pyspark.sql import Window
 
     counts = rows.groupBy("pool", "bin").agg(F.count("*").alias("n"))
     so_far, whole = Window.partitionBy("pool").orderBy("bin"), Window.partitionBy("pool")
     counts = counts.withColumns({"below": F.sum("n").over(so_far), "all": F.sum("n").over(whole)})
-    return counts.where(F.col("below") >= share * F.col("all")).groupBy("pool").agg(F.min("bin").alias(name))
+    return counts.where(F.col("below") >= needed).groupBy("pool").agg(F.min("bin").alias(name))
 
 
 def with_bins(rows: DataFrame, estimate: DataFrame) -> DataFrame:
@@ -162,6 +169,20 @@ def with_bins(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     return rows.join(estimate, "pool").select(*kept)
 
 
+def middles(rows: DataFrame, values: list[Column], name: str) -> DataFrame:
+    """(pool, name0..name4): the median of each value."""
+    return rows.groupBy("pool").agg(*[F.percentile_approx(v, F.lit(0.5), F.lit(1000)).alias(f"{name}{i}") for i, v in enumerate(values)])
+
+
+def start(rows: DataFrame) -> DataFrame:
+    """Each pool's medians and inverse median absolute deviations, in the columns of an estimate."""
+    centre = stored(middles(rows, [F.col(f"x{i}") for i in DIMS], "m"))
+    spread = middles(rows.join(centre, "pool"), [F.abs(F.col(f"x{i}") - F.col(f"m{i}")) for i in DIMS], "d")
+    whole = [1 / F.sqrt((DEVIATION * F.col(f"d{i}")) ** 2 + FLOORS[i] ** 2) for i in DIMS]
+    factor = [(whole[i] if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i in DIMS for j in range(i + 1)]
+    return centre.join(spread, "pool").select("pool", *[f"m{i}" for i in DIMS], *factor)
+
+
 def estimates(stats: DataFrame) -> DataFrame:
     """(g_lang, g_source, mean, factor, limit): what each language and source is judged by.
 
@@ -171,25 +192,13 @@ def estimates(stats: DataFrame) -> DataFrame:
     vectors = stats.where(~F.col("base_failed")).select("lang", "source", *[f"x{i}" for i in DIMS])
     to_pool = stored(pools(vectors))
     rows = stored(vectors.join(to_pool, same_group()).select("pool", *[f"x{i}" for i in DIMS]))
-    quartiles = rows.groupBy("pool").agg(
-        *[F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(f"q{i}") for i in DIMS]
-    )
-    start = quartiles.select(
-        "pool",
-        *[F.get(f"q{i}", 1).alias(f"m{i}") for i in DIMS],
-        *[
-            (1 / F.sqrt(((F.get(f"q{i}", 2) - F.get(f"q{i}", 0)) / 1.349) ** 2 + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"w{i}{j}")
-            for i in DIMS
-            for j in range(i + 1)
-        ],
-    )
-    estimate = stored(start)
+    estimate = stored(start(rows))
     for _ in range(STEPS):
         binned = with_bins(rows, estimate)
-        nearest = binned.join(quantile(binned, SHARE, "edge"), "pool").where(F.col("bin") <= F.col("edge"))
+        nearest = binned.join(quantile(binned, half(), "edge"), "pool").where(F.col("bin") <= F.col("edge"))
         estimate = stored(whitened(moments(nearest)))
     # The median distance of the group brings the cut-off to the scale of its bulk.
-    middle = quantile(with_bins(rows, estimate), 0.5, "edge")
+    middle = quantile(with_bins(rows, estimate), 0.5 * F.col("all"), "edge")
     scale = F.greatest(F.lit(1.0), (F.pow(F.lit(2.0), (F.col("edge") + 1) / BINS) - 1) / MEDIAN)
     judged = estimate.join(middle, "pool").withColumn("limit", CUTOFF * scale).drop("edge")
     return stored(to_pool.join(judged, "pool").drop("pool"))
