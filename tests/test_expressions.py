@@ -14,7 +14,8 @@ from tideline.functions.keys import join_prefix, landing_key, path_parts, strip_
 from tideline.functions.names import in_tenant, matches_any
 from tideline.functions.texts import cut, hex_order, json_payload, last_line
 from tideline.plans.quota import quota_figures, quota_message, quota_report
-from tideline.plans.reports import failure_report, run_state
+from tideline.plans.reports import SEPARATOR, failure_report, notices, run_state
+from validation.check import plan_of
 
 
 def column(spark, values, kind="string"):
@@ -195,6 +196,29 @@ def test_failure_report_is_whole_unless_a_limit_is_given(spark):
     assert cut_off == {center: row["notice"][:1500] for center, row in found.items()}
 
 
+def test_a_report_is_gathered_in_bounded_parts_and_cut_in_the_map_tasks(spark):
+    rows = [(None if i % 9 == 0 else "pc", f"t{i // 2:05d}", None, f"m{i}") for i in range(4000)]
+    frame = spark.createDataFrame(rows, "core_center string, table_name string, procedure_name string, error_message string")
+    whole = {r["core_center"]: r for r in failure_report(frame).collect()}
+    parts = sorted(failure_report(frame, parts=True).collect(), key=lambda r: r["part_no"])
+    assert max(r["entry_count"] for r in parts) == 1000
+    for center in ("pc", None):
+        mine = [r for r in parts if r["core_center"] == center]
+        assert SEPARATOR.join(r["notice"] for r in mine) == whole[center]["notice"]
+        assert sum(r["entry_count"] for r in mine) == whole[center]["entry_count"]
+    for limit in (0, 1500, 9000):
+        short = failure_report(frame, limit=limit)
+        assert {r["core_center"]: r["notice"] for r in short.collect()} == {c: r["notice"][:limit] for c, r in whole.items()}
+        assert limit == 9000 or "WindowGroupLimit" in plan_of(short)
+
+
+def test_blocks_that_are_null_count_and_show_nowhere(spark):
+    frame = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, "y"), ("b", 1, None)], "g string, k int, t string")
+    for limit in (None, 100):
+        got = {r["g"]: (r["entry_count"], r["notice"]) for r in notices(frame, "g", ["k"], F.col("t"), limit).collect()}
+        assert got == {"a": (3, "x" + SEPARATOR + "y"), "b": (1, "")}
+
+
 def test_run_state():
     assert run_state(0, False, False, 0) == "disabled"
     assert run_state(0, True, False, 0) == "no_work"

@@ -260,6 +260,6 @@ def variance_report(comparison: DataFrame) -> DataFrame:
     return comparison.where(shown).select("schema_name", "table_name", variance.alias("exclusion_reason"), text.alias("text"))
 
 
-def variance_notice(report: DataFrame, limit: int | None = None) -> DataFrame:
-    """One notification text per schema."""
-    return notices(report, "schema_name", ["table_name"], F.col("text"), limit)
+def variance_notice(report: DataFrame, limit: int | None = None, parts: bool = False) -> DataFrame:
+    """One notification text per schema (or its parts)."""
+    return notices(report, "schema_name", ["table_name"], F.col("text"), limit, parts)
