@@ -15,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import helpers as H  # noqa: E402
 
-from tideline.llm import bpe, chat, fingerprints, hosts, lines, neardup, neighbours, packing, rules, toxicity  # noqa: E402
+from tideline.llm import bpe, chat, common, fingerprints, hosts, lines, neardup, neighbours, packing, rules, toxicity  # noqa: E402
 from tideline.llm.queries import ORACLES, QUERIES  # noqa: E402
 from validation.check import connect, rows_of  # noqa: E402
 
@@ -227,6 +227,15 @@ def test_labels_that_are_held_out_are_not_learned(spark):
         assert np.array_equal(a, b)
 
 
+def test_labels_of_documents_that_are_not_given_take_no_place(spark, documents):
+    labels = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    ids = [r["doc_id"] for r in documents.where(~common.held_out()).select("doc_id").distinct().collect()]
+    assert 50 < len(ids) < 5_000
+    for limit, want in ((50, 50), (5_000, len(ids))):
+        sample = common.training_texts(documents, labels, "quality", limit).select("doc_id").distinct()
+        assert sample.count() == want
+
+
 def test_scores_of_odd_rows(spark, odd, empty, documents, labels):
     model, toxic = neighbours.train(documents, labels), toxicity.train(documents, labels)
     for rows in (neighbours.with_scores(odd, model, "s"), neighbours.with_scores(odd, None, "s")):

@@ -51,16 +51,17 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_labels(labels: DataFrame, label: str, limit: int) -> DataFrame:
+def training_labels(documents: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
     """(doc_id, label) of at most `limit` labelled documents that are not held out.
 
-    One row per document, the larger label where rows differ; null ids and labels are left
+    Labels of documents that are not given take no place. One row per document, the larger label where rows differ; null ids and labels are left
     out. Beyond `limit`, the documents with the smallest hash of their id are taken.
     """
     return (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
+        .join(documents.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )
@@ -69,9 +70,9 @@ def training_labels(labels: DataFrame, label: str, limit: int) -> DataFrame:
 def training_texts(documents: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
     """(doc_id, text, label): the bounded sample a classifier is fitted on.
 
-    The ids are chosen from the labels alone, so no text moves but the sample's; `limit` rows are broadcast.
+    The ids are chosen from the labels and the documents' ids, so no text moves but the sample's; `limit` rows are broadcast.
     """
-    chosen = training_labels(labels, label, limit)
+    chosen = training_labels(documents, labels, label, limit)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(F.broadcast(chosen), "doc_id")
 
