@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.context import ensure_checkpoint_dir, name_local_checkpoint_dir
@@ -87,3 +87,33 @@ def gram_hashes(codes: np.ndarray, n: int, bits: int) -> np.ndarray:
         h = (h ^ codes[j : j + count]) * np.uint32(0x01000193)
         h ^= h >> np.uint32(15)
     return (h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits)
+
+
+def numbered(rows: DataFrame, groups: list[str], order: list[Column | str], name: str) -> DataFrame:
+    """The rows with `name`, their 0-based place in their group by `order`, gapless.
+
+    Rows are dealt by range of (groups, order) and sorted inside each range, so a group of any size is spread; what
+    is joined on is the start of each group in each range, (groups + ranges) rows at most. Rows that tie in all of
+    `order` are told apart by a running number fixed in a stored copy, so a repeated task deals each row alike.
+    """
+    tie, part, local = fresh(rows, "tie", "part", "local")
+    base = stored(rows.withColumn(tie, F.monotonically_increasing_id()))
+    running = F.monotonically_increasing_id()  # the range's number above 33 bits of the row's number in it
+    ranged = stored(
+        base.repartitionByRange(*groups, *order, tie)
+        .sortWithinPartitions(*groups, *order, tie)
+        .withColumn(local, running)
+        .withColumn(part, F.shiftright(local, 33))
+        .drop(tie)
+    )
+    first, size, before = fresh(ranged, "first", "size", "before")
+    sizes = ranged.groupBy(part, *groups).agg(F.min(local).alias(first), F.count("*").alias(size))
+    earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn(before, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
+    keys = fresh(ranged, *[f"of_{g}" for g in groups])
+    starts = starts.select(F.col(part).alias(f"{part}_"), *[F.col(g).alias(k) for g, k in zip(groups, keys)], first, before)
+    same = F.col(part) == F.col(f"{part}_")
+    for group, key in zip(groups, keys):
+        same &= F.col(group).eqNullSafe(F.col(key))
+    place = (F.col(before) + F.col(local) - F.col(first)).cast("bigint")
+    return ranged.join(starts, same).select(*rows.columns, place.alias(name))

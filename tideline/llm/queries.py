@@ -8,11 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, chat, fingerprints, hosts, lines, neardup, neighbours, oracles, packing, rules, toxicity
+from tideline.llm import bpe, chat, fingerprints, hosts, lines, merkle, neardup, neighbours, oracles, packing, resampling, rules, sharding, toxicity
 from tideline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES = {"op5_line_dedup": oracles.OP5, "op6_chat_formatting": oracles.op6(), "op9_url_filters": oracles.op9()}
+ORACLES = {
+    "op5_line_dedup": oracles.OP5,
+    "op6_chat_formatting": oracles.op6(),
+    "op9_url_filters": oracles.op9(),
+    "op11_resampling": oracles.op11(),
+    "op12_merkle_manifest": oracles.op12(),
+}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -82,3 +88,21 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    manifest = merkle.build(documents, claimed=merkle.leaf(text=merkle.without_line_ends(documents)))
+    proved = merkle.prove(manifest, manifest.leaves)
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
