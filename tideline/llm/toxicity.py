@@ -7,6 +7,10 @@ give the margins from which the final margin is calibrated to a probability.
 
 Fitted on at most `limit` labelled texts (6,000), in one bounded task per fit. Scoring holds
 the weights only (2^19 floats), so a task's memory does not depend on the corpus.
+
+A text of any length is scored whole, in blocks of characters whose hashes are marked in one table; the order of
+its hashes, and so the sum of their weights, depends on the text alone, so equal texts have equal scores wherever they
+lie. A score of exactly 0.5 counts as toxic.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import gram_hashes, held_out, training_texts
+from tideline.llm.common import held_out, training_texts
 
 LIMIT = 6000
 BITS = 19
@@ -33,15 +37,33 @@ FINAL = FOLDS
 BLOCK = 1 << 18
 
 
+#: Where each hash was last met in the text at hand; read only where the same text has just written.
+LAST_MET = np.zeros(1 << BITS, np.int32)
+
+
+def grams(codes: np.ndarray) -> np.ndarray:
+    """The hash of BITS bits of every n-gram of the sizes, each size grown from the one below it."""
+    h, found = np.full(len(codes), 0x9E3779B9, np.uint32), []
+    for n in range(1, min(SIZES[-1], len(codes)) + 1):
+        h = (h[: len(codes) - n + 1] ^ codes[n - 1 :]) * np.uint32(0x01000193)
+        h ^= h >> np.uint32(15)
+        if n in SIZES:
+            found.append(((h ^ np.uint32(n)) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BITS))
+    return np.concatenate(found) if found else np.zeros(0, np.uint32)
+
+
 def features(text: str) -> np.ndarray:
-    """Sorted distinct n-gram hashes of the whole text."""
+    """The distinct n-gram hashes of the whole text, in an order that depends on the text alone."""
     codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    found = [
-        np.unique(gram_hashes(codes[at : at + BLOCK + n - 1], n, BITS))
-        for n in SIZES
-        for at in range(0, len(codes), BLOCK)
-    ]
-    return np.unique(np.concatenate(found))
+    if len(codes) > BLOCK:
+        held = np.zeros(1 << BITS, bool)
+        for at in range(0, len(codes), BLOCK):
+            held[grams(codes[at : at + BLOCK + SIZES[-1] - 1])] = True
+        return np.flatnonzero(held).astype(np.uint32)
+    found = grams(codes)
+    order = np.arange(len(found), dtype=np.int32)
+    LAST_MET[found] = order
+    return found[LAST_MET[found] == order]
 
 
 def minimize(value_and_slope, start: np.ndarray, rounds: int = 60, memory: int = 8) -> np.ndarray:
@@ -74,18 +96,21 @@ def minimize(value_and_slope, start: np.ndarray, rounds: int = 60, memory: int =
     return x
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, per_block: int = 500) -> tuple[np.ndarray, float]:
-    """Weights by hash (ratio times coefficient) and the intercept."""
-    size = 1 << BITS
-    seen = np.zeros(size)
-    for row in rows:
-        seen[row] += 1
-    rows = [row[seen[row] >= MIN_TEXTS] for row in rows]
-    counts = np.ones((2, size))
+def log_count_ratio(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """By hash, the log of its smoothed share in toxic texts over that in others; 0 for hashes in few texts."""
+    counts = np.ones((2, 1 << BITS))
     for row, label in zip(rows, toxic):
         counts[label][row] += 1
     ratio = np.log(counts[1] / (toxic.sum() + 2)) - np.log(counts[0] / ((1 - toxic).sum() + 2))
-    ratio[seen < MIN_TEXTS] = 0
+    ratio[counts.sum(0) - 2 < MIN_TEXTS] = 0
+    return ratio
+
+
+def fit(rows: list[np.ndarray], toxic: np.ndarray, per_block: int = 500) -> tuple[np.ndarray, float]:
+    """Weights by hash (ratio times coefficient) and the intercept."""
+    size = 1 << BITS
+    ratio = log_count_ratio(rows, toxic)
+    rows = [row[ratio[row] != 0] for row in rows]
     blocks = []
     for at in range(0, len(rows), per_block):
         part = rows[at : at + per_block]
