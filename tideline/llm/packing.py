@@ -27,11 +27,15 @@ from tideline.llm.common import stored
 
 LENGTH, END_ID = 4096, 2
 DIMENSIONS, BITS, SEED = 4, 8, 7
-TEXTS, WORDS, CACHED = 256, 200, 600_000
+TEXTS, WORDS, CACHED, CACHED_PARTS = 256, 200, 400_000, 900_000
 #: In texts of these characters lower case and composition work character by character, so that a
 #: text's tokens are those of its words. A zero character is left over to part words.
 OTHER_SCRIPT = re.compile("[^\x01-\x1b -ɏ]|İ")
 PART = "\x00"
+#: Marks that end words. A word of letters and such marks is two tokens' worth of text, parted there by the split pattern.
+ENDS = ".,;:!?&%*$#-\"'()"
+#: The ASCII characters that OTHER_SCRIPT finds.
+RARE = "\x00\x1c\x1d\x1e\x1f"
 #: The tokenizer's own split pattern (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: In any other text, tokens never span a blank or a line end.
@@ -51,21 +55,30 @@ class Tokens:
         self.lower = Tokenizer.from_file(path)
         self.lower.encode_special_tokens = True
         self.lower.normalizer = None
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         split = pre_tokenizers.Split(Regex(SPLIT), "removed", invert=True)
-        self.lower.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.lower.pre_tokenizer = pre_tokenizers.Sequence([split, bytewise])
+        # For runs of letters, which the pattern leaves whole: no pattern.
+        self.letters = Tokenizer.from_file(path)
+        self.letters.encode_special_tokens = True
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         (self.part,) = self.lower.encode(PART, add_special_tokens=False).ids
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.weights = np.random.default_rng(SEED).standard_normal((size, DIMENSIONS)).astype(np.float32)
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [OTHER_SCRIPT.search(t) is None for t in texts]
+        plain = [not any(c in t for c in RARE) if t.isascii() else OTHER_SCRIPT.search(t) is None for t in texts]
         split = [t.lower().split() if p else RUN.findall(t) for t, p in zip(texts, plain)]
         for known in (self.words, self.runs):
             if len(known) > CACHED:
                 known.clear()
+        if len(self.parts) > CACHED_PARTS:
+            self.parts = {"": b""}
         self.add_words(set(chain.from_iterable(s for s, p in zip(split, plain) if p)).difference(self.words))
         new = list(set(chain.from_iterable(s for s, p in zip(split, plain) if not p)).difference(self.runs))
         found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
@@ -73,22 +86,37 @@ class Tokens:
         return [b"".join(map((self.words if p else self.runs).__getitem__, s)) for s, p in zip(split, plain)]
 
     def add_words(self, words: set[str]) -> None:
-        new = list(words)
+        """The ids of new words: of their letters and of the marks behind, where a word is such, else of the whole."""
+        cut = {w: len(w.rstrip(ENDS)) for w in words}
+        cut = {w: n if w[:n].isalpha() else len(w) for w, n in cut.items()}
+        new = ({w[:n] for w, n in cut.items()} | {w[n:] for w, n in cut.items()}).difference(self.parts)
+        letters = [p for p in new if p.isalpha()]
+        self.add_parts(self.letters, letters)
+        self.add_parts(self.lower, list(new.difference(letters)))
+        parts = self.parts
+        self.words.update((w, parts[w[:n]] + parts[w[n:]]) for w, n in cut.items())
+
+    def add_parts(self, tokenizer, new: list[str]) -> None:
         together = [f" {PART} ".join(new[at : at + WORDS]) + f" {PART}" for at in range(0, len(new), WORDS)]
-        found = [e.ids for e in self.lower.encode_batch_fast(together, add_special_tokens=False)]
+        found = [e.ids for e in tokenizer.encode_batch_fast(together, add_special_tokens=False)]
         ids = np.fromiter(chain.from_iterable(found), self.kind)
         cuts = np.flatnonzero(ids == self.part).tolist()
         raw, width, begin = ids.tobytes(), self.kind.itemsize, 0
-        for word, end in zip(new, cuts, strict=True):
-            self.words[word] = raw[width * begin : width * end]
+        for part, end in zip(new, cuts, strict=True):
+            self.parts[part] = raw[width * begin : width * end]
             begin = end + 1
 
     def points(self, ids: list[bytes]) -> np.ndarray:
         """Each document's point, in whole steps of a cube; about standard normal before it is spread evenly."""
-        sums = np.zeros((len(ids), DIMENSIONS))
-        for i, raw in enumerate(ids):
-            distinct = np.unique(np.frombuffer(raw, self.kind))
-            sums[i] = self.weights[distinct].sum(0) / np.sqrt(max(1, len(distinct)))
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        owned = np.repeat(np.arange(len(ids)) << 32, counts) | np.frombuffer(b"".join(ids), self.kind)
+        owned.sort()  # each document's ids, then those that differ from the one before
+        owned = owned[np.append(True, owned[1:] != owned[:-1])[: len(owned)]]
+        begins = np.searchsorted(owned, np.arange(len(ids) + 1) << 32)
+        sums, some = np.zeros((len(ids), DIMENSIONS)), begins[1:] > begins[:-1]
+        if some.any():
+            sums[some] = np.add.reduceat(self.weights[owned & 0xFFFFFFFF], begins[:-1][some])
+        sums /= np.sqrt(np.maximum(1, np.diff(begins)))[:, None]
         return np.minimum((1 << BITS) - 1, (1 << BITS) / (1 + np.exp(-1.702 * sums))).astype(np.int64)
 
 
