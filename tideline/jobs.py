@@ -87,13 +87,12 @@ def reconciliation_job(
     ).checkpoint()
     chosen = [r["table_name"] for r in reconciliation.comparison_candidates(comparison).collect()]
     if chosen:
-        records = reconciliation.record_comparison(
+        counts = reconciliation.record_mismatches(
             _tagged({n: merged[n] for n in chosen}, "id", "beanversion", "gw_delete_flag"),
             _tagged({n: replica[n] for n in chosen}, "id", "beanversion"),
             ctx,
             schema_name,
         )
-        counts = reconciliation.record_mismatch_counts(records)
         comparison = reconciliation.with_mismatches(comparison, counts).checkpoint()
     return comparison, reconciliation.variance_report(comparison)
 

@@ -33,6 +33,8 @@ from tideline.plans.load_plan import LAYERS
 from tideline.plans.reports import failure_report, run_state
 from tideline.sources.manifest import read_manifest
 from tideline.sources.objects import read_changes, subfolder_listing
+from tideline.sources.footers import write_observed
+from tideline.sources.partitions import PartitionedTable
 from tideline.sources.versions import VersionedTable, subfolders
 
 MANIFEST = (
@@ -69,13 +71,18 @@ class Center:
     parallel_tables: int = 8
     hexadecimal: tuple[str, ...] = ()
     buckets: int = 0
+    #: Hash partitions of the merged tables, of which a merge touches only those its changes fall into; 0 for whole versions.
+    parts: int = 0
     step_names: dict[str, str] | None = None
 
     def control(self, name: str, schema: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/control/{name}", StructType.fromDDL(schema))
 
-    def merged(self, table_name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/mrg/{table_name}", key=self.key, buckets=self.buckets, marker="_PUBLISHED")
+    def merged(self, table_name: str) -> VersionedTable | PartitionedTable:
+        path = f"{self.root}/mrg/{table_name}"
+        if self.parts:
+            return PartitionedTable(self.spark, path, self.key, self.parts)
+        return VersionedTable(self.spark, path, key=self.key, buckets=self.buckets, marker="_PUBLISHED")
 
     def append_log(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.root}/log/{name}")
@@ -122,10 +129,12 @@ def load_raw(center: Center, table: TableRun, ctx: RunContext) -> None:
     for schema_id, names in table.folders.items():
         changes = read_changes(center.spark, center.source_root, table.name, schema_id, low, high, names)
         path = f"{load}/attempt={attempt}/schema_id={schema_id}"
-        layers.raw_load(changes, ctx).write.parquet(path)
-        rows, newest = center.spark.read.parquet(path).agg(F.count(F.lit(1)), F.max("cda_folder")).first()
-        progress["raw_rows"] += rows
-        progress["raw_folder"] = max(progress["raw_folder"] or 0, newest or 0)
+        raw = layers.raw_load(changes, ctx)
+        found = write_observed(
+            raw, lambda rows: rows.write.parquet(path), lambda: center.spark.read.schema(raw.schema).parquet(path), [F.max("cda_folder").alias("newest")]
+        )
+        progress["raw_rows"] += found["rows"]
+        progress["raw_folder"] = max(progress["raw_folder"] or 0, found["newest"] or 0)
     if table.folders:
         progress["raw_ready"] = [*(progress["raw_ready"] or []), attempt]
     table.count("raw", progress["raw_rows"], str(progress["raw_folder"]))
@@ -168,15 +177,15 @@ def load_merge(center: Center, table: TableRun, ctx: RunContext) -> None:
     if progress["stg_ready"]:
         staged = layers.union_of([spark.read.parquet(f"{load}/attempt={n}") for n in progress["stg_ready"]])
         target = center.merged(table.name)
-        known = progress["mrg_version"]
-        before = layers.empty_merged(staged) if known is None else target.read(known)
-        merged = layers.merge_load(
-            before, staged, ctx, key=key, order=list(center.order), operation=center.operation, hexadecimal=center.hexadecimal
-        )
-        progress["mrg_version"] = target.write(merged)
-        new_keys = staged.select(*key).distinct().join(before.select(*key), key, "left_anti").count()
-        table.count("mrg", target.read(progress["mrg_version"]).count())
-        table.count("expected", before.count() + new_keys)
+        options = {"key": key, "order": list(center.order), "operation": center.operation, "hexadecimal": center.hexadecimal}
+
+        def step(before: DataFrame, changes: DataFrame) -> DataFrame:
+            return layers.merge_load(before, changes, ctx, with_action=True, **options)
+
+        done = target.merge(progress["mrg_version"], staged, layers.empty_merged(staged), step)
+        progress["mrg_version"] = done.version
+        table.count("mrg", done.rows)
+        table.count("expected", done.rows_before + done.inserted)
     progress["stg_ready"] = []
 
 

@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from hashlib import sha256
+from typing import NamedTuple
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tideline.operators.upsert import ACTION
+from tideline.sources.footers import observed
+
+
+class Merge(NamedTuple):
+    """A written version: its rows, those of the version before, and what the merge did (None where it is not known)."""
+
+    version: int
+    rows: int
+    rows_before: int
+    inserted: int
+    updated: int | None
+
 
 def subfolders(path: str, name: str) -> dict[str, str]:
     """Folders `name=value` directly below a path, by value."""
@@ -38,11 +54,8 @@ class VersionedTable:
 
     def latest(self) -> int | None:
         """The newest version that counts."""
-        for number in sorted(map(int, subfolders(self.path, "version")), reverse=True):
-            store, marker = pafs.FileSystem.from_uri(f"{self._folder(number)}/{self.marker}")
-            if store.get_file_info(marker).type == pafs.FileType.File:
-                return number
-        return None
+        numbers = sorted(map(int, subfolders(self.path, "version")), reverse=True)
+        return next((n for n in numbers if self._finished(n)), None)
 
     def publish(self, version: int) -> None:
         """Let readers have a version, once it is known to be sound. Repeating it does no harm."""
@@ -97,3 +110,42 @@ class VersionedTable:
         else:
             frame.write.mode("overwrite").parquet(self._folder(version))
         return version
+
+    def merge(self, known: int | None, changes: DataFrame, empty: DataFrame, step: Callable[[DataFrame, DataFrame], DataFrame]) -> Merge:
+        """Apply `step(rows before, changes)`, an upsert with actions, and write a version, not published yet.
+
+        What the merge did is counted by the tasks that write; rows are counted from footers.
+        """
+        before = empty if known is None else self.read(known)
+        seen = Observation()
+        counted = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(ACTION) == "insert").alias("inserted"), F.count_if(F.col(ACTION) == "update").alias("updated")]
+        version = self.write(step(before, changes).observe(seen, *counted).drop(ACTION))
+        rows, earlier = self.read(version).count(), 0 if known is None else before.count()
+        found = observed(seen)
+        if found.get("rows") != rows:  # repeated tasks were counted twice
+            found = {"inserted": rows - earlier, "updated": None}
+        return Merge(version, rows, earlier, found["inserted"], found["updated"])
+
+    def retain(self, versions: int) -> list[str]:
+        """Delete all but the newest `versions` finished versions and anything newer; returns the folders deleted.
+
+        Nothing calls this by itself: only the caller knows that no reader is left on an old version.
+        """
+        if versions < 1:
+            raise ValueError("keep one version at least")
+        finished = [n for n in sorted(map(int, subfolders(self.path, "version"))) if self._finished(n)]
+        if len(finished) <= versions:
+            return []
+        oldest, gone = finished[-versions], []
+        for number in sorted(map(int, subfolders(self.path, "version"))):
+            if number < oldest:
+                if self.buckets:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self._name(number)}")
+                store, folder = pafs.FileSystem.from_uri(self._folder(number))
+                store.delete_dir(folder)
+                gone.append(self._folder(number))
+        return gone
+
+    def _finished(self, version: int) -> bool:
+        store, marker = pafs.FileSystem.from_uri(f"{self._folder(version)}/{self.marker}")
+        return store.get_file_info(marker).type == pafs.FileType.File

@@ -328,6 +328,68 @@ SELECT operation, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines,
 FROM ({_latest('fx_line_changes', 'l_shipdate DESC, l_linenumber DESC, l_partkey DESC')}) GROUP BY operation
 """
 
+U32 = 4294967295
+
+
+def spark_hash(number: str, name: str, rows: str) -> str:
+    """The 32-bit hash Spark deals a whole number by: two halves mixed in, then finished (fixed constants of the public algorithm)."""
+
+    def times(value: str, factor: int) -> str:
+        return f"(({value})::HUGEINT * {factor} & {U32})::BIGINT"
+
+    def turned(value: str, bits: int) -> str:
+        return f"(((({value}) << {bits}) & {U32}) | (({value}) >> {32 - bits}))"
+
+    steps, h = f"SELECT *, ({number} & {U32}) AS k0, ({number} >> 32 & {U32}) AS k1, 42::BIGINT AS h0 FROM {rows}", "h0"
+    for i in range(2):
+        steps = f"SELECT *, {times(f'k{i}', 3432918353)} AS a{i} FROM ({steps})"
+        steps = f"SELECT *, xor({h}, {times(turned(f'a{i}', 15), 461845907)}) AS b{i} FROM ({steps})"
+        steps = f"SELECT *, ({times(turned(f'b{i}', 13), 5)} + 3864292196) & {U32} AS h{i + 1} FROM ({steps})"
+        h = f"h{i + 1}"
+    steps = f"SELECT *, xor({h}, 8) AS c0 FROM ({steps})"
+    for i, (shift, factor) in enumerate([(16, 2246822507), (13, 3266489909)]):
+        steps = f"SELECT *, {times(f'xor(c{i}, c{i} >> {shift})', factor)} AS c{i + 1} FROM ({steps})"
+    return f"SELECT *, xor(c2, c2 >> 16) AS u, CASE WHEN u > 2147483647 THEN u - 4294967296 ELSE u END AS {name} FROM ({steps})"
+
+
+_SQL["merge_touched_partitions"] = f"""
+WITH numbered AS (
+    SELECT id, ((h % 16384) + 16384) % 16384 AS part FROM ({spark_hash("id", "h", "(SELECT DISTINCT id FROM fx_line_changes)")})
+), newest AS (
+    SELECT id, operation = 'U' AS early,
+           max((l_shipdate, l_linenumber, l_partkey, l_suppkey)) AS newest_at
+    FROM fx_line_changes GROUP BY ALL
+), sides AS (
+    SELECT id, part, max(newest_at) FILTER (early) AS old_at, max(newest_at) FILTER (NOT early) AS new_at FROM newest JOIN numbered USING (id) GROUP BY ALL
+)
+SELECT part::INT AS part, count(old_at) AS rows_read, count(*) FILTER (old_at IS NULL) AS rows_inserted, count(*) FILTER (new_at > old_at) AS rows_updated
+FROM sides GROUP BY part HAVING count(new_at) > 0
+"""
+
+_SQL["footer_counts"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS row_count, min({column})::VARCHAR AS least, max({column})::VARCHAR AS greatest FROM {table}"
+    for table, column in [
+        ("customer", "c_custkey"), ("orders", "o_orderdate"), ("lineitem", "l_orderkey"), ("events", "event_id"), ("documents", "doc_id"), ("pages", "page_id"),
+    ]
+)
+
+_SQL["record_range_digests"] = """
+WITH told AS (
+    SELECT table_name, id, beanversion::VARCHAR AS version, 1 AS mrg FROM fx_merged WHERE gw_delete_flag = 'N'
+    UNION ALL SELECT table_name, id, beanversion::VARCHAR, 0 FROM fx_replica
+), hashed AS (
+    SELECT upper(table_name) AS table_name, floor(id / 128)::BIGINT AS key_range, mrg,
+           ('0x' || substr(md5('=' || id || ':' || coalesce('=' || version, '-')), 1, 15))::BIGINT AS h
+    FROM told WHERE id IS NOT NULL
+), counted AS (
+    SELECT table_name, key_range,
+           count(*) FILTER (mrg = 1) AS mrg_rows, coalesce(sum(h) FILTER (mrg = 1), 0)::VARCHAR AS mrg_sum, coalesce(bit_xor(h) FILTER (mrg = 1), 0) AS mrg_xor,
+           count(*) FILTER (mrg = 0) AS replica_rows, coalesce(sum(h) FILTER (mrg = 0), 0)::VARCHAR AS replica_sum, coalesce(bit_xor(h) FILTER (mrg = 0), 0) AS replica_xor
+    FROM hashed GROUP BY ALL
+)
+SELECT *, (mrg_rows, mrg_sum, mrg_xor) <> (replica_rows, replica_sum, replica_xor) AS differs FROM counted
+"""
+
 # Names. The patterns as regular expressions over lower-case names.
 
 BLOCKED = (

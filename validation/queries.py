@@ -15,7 +15,7 @@ from tideline.operators import inventory
 from tideline.operators.history import latest_per_key
 from tideline.operators.upsert import action_counts
 from tideline.plans import layers, load_plan, outbox, quota, reconciliation, reports
-from tideline.sources import manifest, objects, replica
+from tideline.sources import footers, manifest, objects, partitions, replica
 from validation.inputs import TABLES, Inputs
 
 CTX = RunContext(batch_id=4567, run_ts=datetime(2024, 2, 1))
@@ -23,7 +23,7 @@ EARLIER = RunContext(batch_id=4566, run_ts=datetime(2024, 1, 1))
 AS_OF = datetime(2024, 2, 1, 13, 30)
 SYSTEM, LANDED, CENTER, SCHEMA = "source", "landed", "pc", "MRG_PC"
 LAYER_SCHEMAS = {"raw": "RAW_PC", "stg": "STG_PC", "mrg": "MRG_PC"}
-PAGE = 100
+PAGE, PARTS = 100, 16384
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -305,6 +305,20 @@ def merge_load_lines_second_batch(x: Inputs) -> DataFrame:
     return layers.merge_load(first, changes.where(~in_first), CTX, order=order)
 
 
+@query
+def merge_touched_partitions(x: Inputs) -> DataFrame:
+    """The second batch of line changes merged into the partitions its keys fall into."""
+    order = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
+    changes = x["fx_line_changes"]
+    in_first = F.col("operation") == "U"
+    first = layers.merge_load(layers.empty_merged(changes), changes.where(in_first), EARLIER, order=order)
+
+    def step(before: DataFrame, batch: DataFrame) -> DataFrame:
+        return layers.merge_load(before, batch, CTX, order=order, with_action=True)
+
+    return partitions.touched_partitions(first, changes.where(~in_first), ["id"], PARTS, step)
+
+
 @query
 def merge_load_hex_order(x: Inputs) -> DataFrame:
     """The line changes ordered by a hexadecimal sequence without padding, in two batches."""
@@ -448,6 +462,17 @@ def record_comparison(x: Inputs) -> DataFrame:
     return reconciliation.record_comparison(x["fx_merged"], x["fx_replica"], CTX, SCHEMA)
 
 
+@query
+def record_range_digests(x: Inputs) -> DataFrame:
+    return reconciliation.record_range_digests(x["fx_merged"], x["fx_replica"], width=128)
+
+
+@query
+def footer_counts(x: Inputs) -> DataFrame:
+    columns = {"customer": "c_custkey", "orders": "o_orderdate", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "pages": "page_id"}
+    return footers.footer_counts(x.spark, {name: (f"{x.sf_dir}/{name}.parquet", column) for name, column in columns.items()})
+
+
 @query
 def record_mismatch_counts(x: Inputs) -> DataFrame:
     records = reconciliation.record_comparison(x["fx_merged"], x["fx_replica"], CTX, SCHEMA)
