@@ -4,6 +4,8 @@ Ids travel as little-endian unsigned 32-bit integers in one binary column. Texts
 `PIECE` characters are cut before a blank or line end that follows a visible character: no
 match of the pattern spans such a place, nor does the match before it look past it, so the
 pieces give the ids of the whole text. Where no such place is near, the piece runs on to the next.
+The pattern needs memory for each blank of a run, so a run of more than `BLANKS` is found by a linear scan and taken
+without it: all but the last blank are one match, the last one belongs to what follows; at the end of a text all are one.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PIECE = 1 << 16
+PIECE, BLANKS = 1 << 16, 1 << 12
+#: White space as the pattern's \\s has it.
+LONG_RUN = regex.compile(rf"\p{{White_Space}}{{{BLANKS + 1},}}+")
 SAFE = regex.compile(r"(?<=[\p{L}\p{N}!-~])(?=[ \n])|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})")
 
 
@@ -44,10 +48,27 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+def matches(text: str) -> Iterator[tuple[str, bool]]:
+    """The text in parts, and whether a part is one match of the pattern already (all of a long run of blanks but its last)."""
+    start = 0
+    for run in LONG_RUN.finditer(text):
+        if run.start() > start:
+            yield text[start : run.start()], False
+        start = run.end() if run.end() == len(text) else run.end() - 1
+        yield text[run.start() : start], True
+    yield text[start:], False
+
+
 def token_ids(encoder, text: str | None) -> bytes:
     if not text:
         return b""
-    return b"".join(encoder.encode_to_numpy(p, disallowed_special=()).astype("<u4").tobytes() for p in pieces(text))
+    out = []
+    for part, whole in matches(text):
+        if whole:
+            out.append(np.array(encoder._encode_single_piece(part), "<u4").tobytes())
+        else:
+            out += [encoder.encode_to_numpy(p, disallowed_special=()).astype("<u4").tobytes() for p in pieces(part)]
+    return b"".join(out)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
