@@ -1,8 +1,9 @@
 """Chat formatting from a declarative template; DataFrame functions only.
 
-A finite-state machine over the roles of a conversation, in turn order, says whether the turns are
-valid. Each turn gives three segments (mark, text, end mark), each with its loss flag: only the texts
-of roles with loss have it. Control strings inside texts are escaped: they lose their first character to
+A finite-state machine runs over the roles of a conversation, in turn order: every turn takes it to a state, which
+emits three segments (mark, text, end mark) with their loss flags. The flag of a text is that of the state, by default
+the role's, so a role may be learned in one place and not in another. The last state says whether the turns are
+valid; from a turn the machine has no step for, it is lost, and the turns go by their roles. Control strings inside texts are escaped: they lose their first character to
 `ESCAPE` and a letter, and `ESCAPE` itself is doubled by a letter of its own, so a formatted
 conversation can be read back turn by turn. No control string has its first character
 elsewhere in it, so none can arise where a text meets a mark.
@@ -36,6 +37,8 @@ class Template(NamedTuple):
     steps: tuple[tuple[str, str, str], ...]
     first: str
     last: tuple[str, ...]
+    #: States whose texts are learned or not other than their role says.
+    loss_in: Mapping[str, bool] = {}
     #: Any other role: its name stands between `other` and `named`.
     other: str = "[TURN]"
     named: str = "[TEXT]"
@@ -90,24 +93,39 @@ def unescaped(text: Column, template: Template) -> Column:
     return F.replace(out, F.lit(f"{ESCAPE}z"), F.lit(ESCAPE))
 
 
-def is_valid(roles: Column, template: Template) -> Column:
-    """Run the machine over an array of roles; a step it does not have leads nowhere."""
-    steps = F.create_map(*[F.lit(x) for state, role, after in template.steps for x in (f"{state}>{role}", after)])
-    state = F.aggregate(roles, F.lit(template.first), lambda s, role: F.coalesce(F.try_element_at(steps, F.concat(s, F.lit(">"), role)), F.lit("")))
-    return state.isin(*template.last)
+LOST = "~"
 
 
-def segments_of(role: Column, text: Column, template: Template) -> Column:
-    """The three segments (text, loss) of a turn."""
+def states_of(roles: Column, template: Template) -> Column:
+    """The state the machine is in after each role, as an array. States travel as one character each while it runs."""
+    names = list(dict.fromkeys([template.first, *[x for state, _, after in template.steps for x in (state, after)]]))
+    code = {name: chr(ord("A") + i) for i, name in enumerate(names)}
+    steps = F.create_map(*[F.lit(x) for state, role, after in template.steps for x in (f"{code[state]}>{role}", code[after])])
 
-    def segment(value: Column, loss: bool) -> Column:
-        return F.struct(value.alias("text"), F.lit(loss).alias("loss"))
+    def step(path: Column, role: Column) -> Column:
+        return F.concat(path, F.coalesce(F.try_element_at(steps, F.concat(F.right(path, F.lit(1)), F.lit(">"), role)), F.lit(LOST)))
 
-    body = escaped(text, template)
+    path = F.aggregate(roles, F.lit(code[template.first]), step)
+    named = F.create_map(*[F.lit(x) for name, c in code.items() for x in (c, name)])
+    codes = F.split(F.substring(path, 2, 2**31 - 1), "")
+    return F.when(F.size(roles) == 0, F.array().cast("array<string>")).otherwise(F.transform(codes, lambda c: F.coalesce(F.try_element_at(named, c), F.lit(LOST))))
+
+
+def segments_of(role: Column, text: Column, state: Column, template: Template) -> Column:
+    """The three segments (text, loss) that a turn's state emits."""
+    role_of = {after: role for _, role, after in template.steps}
+    flags = {after: template.loss_in.get(after, template.roles[role].loss) for after, role in role_of.items()}
+    learned_in = F.create_map(*[F.lit(x) for state, flag in flags.items() for x in (state, flag)])
+
+    def segment(value: Column, loss: Column) -> Column:
+        return F.struct(value.alias("text"), loss.alias("loss"))
+
+    never, body = F.lit(False), escaped(text, template)
     head = F.concat(F.lit(template.other), escaped(role, template), F.lit(template.named))
-    out = F.array(segment(head, False), segment(body, False), segment(F.lit(template.other_end), False))
+    out = F.array(segment(head, never), segment(body, never), segment(F.lit(template.other_end), never))
     for name, marks in template.roles.items():
-        known = F.array(segment(F.lit(marks.begin), False), segment(body, marks.loss), segment(F.lit(marks.end), False))
+        loss = F.coalesce(F.try_element_at(learned_in, state), F.lit(marks.loss))
+        known = F.array(segment(F.lit(marks.begin), never), segment(body, loss), segment(F.lit(marks.end), never))
         out = F.when(role == name, known).otherwise(out)
     return out
 
@@ -122,10 +140,11 @@ def format_conversations(turns: DataFrame, template: Template = INST) -> DataFra
     blank = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text")}
     rows = turns.select("conv_id", F.struct("turn", blank["role"].alias("role"), blank["text"].alias("text")).alias("t"))
     whole = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    segments = F.flatten(F.transform("turns", lambda t: segments_of(t["role"], t["text"], template)))
+    whole = whole.withColumn("states", states_of(F.transform("turns", lambda t: t["role"]), template))
+    segments = F.flatten(F.zip_with("turns", "states", lambda t, s: segments_of(t["role"], t["text"], s, template)))
     made = whole.select(
         "conv_id",
-        is_valid(F.transform("turns", lambda t: t["role"]), template).alias("valid"),
+        F.element_at("states", -1).isin(*template.last).alias("valid"),
         F.size("turns").cast("bigint").alias("n_turns"),
         segments.alias("segments"),
     )

@@ -101,10 +101,12 @@ WITH turns AS (
     SELECT conv_id, count(*) AS n_turns,
         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS all_text,
         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role IN ({loss})), '') AS loss_text,
-        sum(length({text}) + CASE role{marks} ELSE {other} + length({role}) END)::BIGINT AS formatted_chars
+        sum(length({text}) + CASE role{marks} ELSE {other} + length({role}) END)::BIGINT AS formatted_chars,
+        string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE '?' END, '' ORDER BY turn NULLS FIRST, role, text) AS path
     FROM turns GROUP BY conv_id
 )
-SELECT conv_id, n_turns, sha256(all_text) AS turns_sha256, length(loss_text) AS loss_chars, sha256(loss_text) AS loss_sha256, formatted_chars
+SELECT conv_id, n_turns, sha256(all_text) AS turns_sha256, length(loss_text) AS loss_chars, sha256(loss_text) AS loss_sha256, formatted_chars,
+    regexp_full_match(path, 's?u(au)*a?') AS valid
 FROM whole
 """
 

@@ -65,7 +65,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], turns.schema)
-    return chat.digests(chat.format_conversations(turns.unionByName(added))).drop("valid")
+    return chat.digests(chat.format_conversations(turns.unionByName(added)))
 
 
 @query
