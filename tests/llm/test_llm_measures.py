@@ -7,6 +7,7 @@ from math import log
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import helpers as H  # noqa: E402
 
-from tideline.llm import fingerprints, toxicity  # noqa: E402
+from tideline.llm import bpe, chat, fingerprints, toxicity  # noqa: E402
+from tideline.llm.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -123,3 +125,54 @@ def test_ratios_equal_counts_by_hand_and_margins_their_sum(spark):
     for r in toxicity.score(documents.union(documents), model).collect():
         margin = scale * sum(float(weights[g]) for g in gram_set(texts[r["doc_id"]])) + shift
         assert r["score"] == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-5)
+
+
+# 6 chat formatting
+
+
+def test_the_machine_emits_the_segments_and_is_in_the_plan_of_the_query(spark):
+    plan = QUERIES["op6_chat_formatting"](spark, H.SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert ">user" in plan and ">assistant" in plan
+    # The first answer is a draft that is not learned; later ones are.
+    steps = (("start", "user", "asked"), ("asked", "assistant", "draft"), ("draft", "user", "again"), ("again", "assistant", "final"), ("final", "user", "again"))
+    template = chat.INST._replace(steps=steps, last=("draft", "final"), loss_in={"draft": False}).check()
+    turns = [(1, i, r, f"{r}{i}") for i, r in enumerate(["user", "assistant"] * 3)]
+    turns += [(2, 0, "user", "q"), (2, 1, "user", "q"), (2, 2, "assistant", "lost")] + [(3, 0, "assistant", "x")]
+    made = chat.format_conversations(spark.createDataFrame(turns, "conv_id int, turn int, role string, text string"), template)
+    rows = {r["conv_id"]: r for r in made.select("*", chat.learned(F.col("segments"), template).alias("learned")).collect()}
+    assert {k: r["learned"] for k, r in rows.items()} == {1: "assistant3assistant5", 2: "lost", 3: "x"}
+    assert {k: r["valid"] for k, r in rows.items()} == {1: True, 2: False, 3: False}
+
+
+def test_states_of_the_machine(spark):
+    roles = [["user", "assistant", "user"], ["user", "user", "assistant"], [], ["system"], ["nobody", "user"]]
+    frame = spark.createDataFrame([(r,) for r in roles], "roles array<string>")
+    got = [r[0] for r in frame.select(chat.states_of(F.col("roles"), chat.INST)).collect()]
+    lost = chat.LOST
+    assert got == [["user", "assistant", "user"], ["user", lost, lost], [], ["system"], [lost, lost]]
+
+
+# 3 byte-level BPE
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.mark.parametrize("run", [" " * 9000, "\n" * 9000, " \t" * 4500 + "\u3000", "\n" * 8999 + " "])
+@pytest.mark.parametrize("text", ["a{}b", "a{}1", "a{}!", "x{}", "{}y", "{}", "it's{}漢{}\x1c"])
+def test_long_runs_of_blanks_equal_the_library(run, text):
+    encoder, text = bpe.encoding(RANKS, public_tokenizers.PATTERN), text.replace("{}", run)
+    assert np.frombuffer(bpe.token_ids(encoder, text), "<u4").tolist() == encoder.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_millions_of_blanks_are_encoded_and_decoded(blank):
+    encoder, run = bpe.encoding(RANKS, public_tokenizers.PATTERN), blank * 3_000_000
+    for text in (run + "a", "a" + run + "1", "end" + run):
+        ids = np.frombuffer(bpe.token_ids(encoder, text), "<u4")
+        assert encoder.decode_bytes(ids.tolist()) == text.encode()
+
+
+def test_bpe_equals_the_library_on_the_given_table(spark, documents):
+    encoder = bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    got = {r["doc_id"]: bytes(r["token_ids"]) for r in bpe.encode(documents, RANKS, public_tokenizers.PATTERN).collect()}
+    assert got == {r["doc_id"]: np.array(encoder.encode_ordinary(r["text"] or ""), "<u4").tobytes() for r in documents.collect()}
