@@ -27,13 +27,14 @@ from tideline.llm.common import stored
 
 LENGTH, END_ID = 4096, 2
 DIMENSIONS, BITS, SEED = 4, 8, 7
-TEXTS, WORDS, CACHED, CACHED_PARTS = 256, 200, 400_000, 900_000
+TEXTS, WORDS, CACHED, CACHED_PARTS = 512, 200, 400_000, 900_000
 #: In texts of these characters lower case and composition work character by character, so that a
 #: text's tokens are those of its words. A zero character is left over to part words.
 OTHER_SCRIPT = re.compile("[^\x01-\x1b -ɏ]|İ")
 PART = "\x00"
 #: Marks that end words. A word of letters and such marks is two tokens' worth of text, parted there by the split pattern.
 ENDS = ".,;:!?&%*$#-\"'()"
+END_OF_WORD = "</w>"
 #: The ASCII characters that OTHER_SCRIPT finds.
 RARE = "\x00\x1c\x1d\x1e\x1f"
 #: The tokenizer's own split pattern (fixed value).
@@ -65,6 +66,9 @@ class Tokens:
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         (self.part,) = self.lower.encode(PART, add_special_tokens=False).ids
         size = self.tokenizer.get_vocab_size()
+        # The last token of a run carries a suffix, so runs of letters need nothing between them.
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for token, i in self.letters.get_vocab().items() if token.endswith(END_OF_WORD)]] = True
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.weights = np.random.default_rng(SEED).standard_normal((size, DIMENSIONS)).astype(np.float32)
         self.words: dict[str, bytes] = {}
@@ -91,20 +95,25 @@ class Tokens:
         cut = {w: n if w[:n].isalpha() else len(w) for w, n in cut.items()}
         new = ({w[:n] for w, n in cut.items()} | {w[n:] for w, n in cut.items()}).difference(self.parts)
         letters = [p for p in new if p.isalpha()]
-        self.add_parts(self.letters, letters)
-        self.add_parts(self.lower, list(new.difference(letters)))
+        found = self.letters.encode_batch_fast(joined(letters, " "), add_special_tokens=False)
+        ids = self.ids_of(found)
+        self.add_parts(letters, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
+        others = list(new.difference(letters))
+        found = self.lower.encode_batch_fast([f"{t} {PART}" for t in joined(others, f" {PART} ")], add_special_tokens=False)
+        ids = self.ids_of(found)
+        self.add_parts(others, ids, np.flatnonzero(ids == self.part), 1)
         parts = self.parts
         self.words.update((w, parts[w[:n]] + parts[w[n:]]) for w, n in cut.items())
 
-    def add_parts(self, tokenizer, new: list[str]) -> None:
-        together = [f" {PART} ".join(new[at : at + WORDS]) + f" {PART}" for at in range(0, len(new), WORDS)]
-        found = [e.ids for e in tokenizer.encode_batch_fast(together, add_special_tokens=False)]
-        ids = np.fromiter(chain.from_iterable(found), self.kind)
-        cuts = np.flatnonzero(ids == self.part).tolist()
+    def ids_of(self, found: list) -> np.ndarray:
+        return np.fromiter(chain.from_iterable([e.ids for e in found]), self.kind)
+
+    def add_parts(self, new: list[str], ids: np.ndarray, ends: np.ndarray, between: int) -> None:
+        """Keep the ids of each new part; they lie one after the other, `between` ids apart."""
         raw, width, begin = ids.tobytes(), self.kind.itemsize, 0
-        for part, end in zip(new, cuts, strict=True):
+        for part, end in zip(new, ends.tolist(), strict=True):
             self.parts[part] = raw[width * begin : width * end]
-            begin = end + 1
+            begin = end + between
 
     def points(self, ids: list[bytes]) -> np.ndarray:
         """Each document's point, in whole steps of a cube; about standard normal before it is spread evenly."""
@@ -120,6 +129,10 @@ class Tokens:
         return np.minimum((1 << BITS) - 1, (1 << BITS) / (1 + np.exp(-1.702 * sums))).astype(np.int64)
 
 
+def joined(parts: list[str], between: str) -> list[str]:
+    return [between.join(parts[at : at + WORDS]) for at in range(0, len(parts), WORDS)]
+
+
 @lru_cache(maxsize=2)
 def tokens_of(path: str) -> Tokens:
     return Tokens(path)
