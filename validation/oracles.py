@@ -646,4 +646,15 @@ SELECT schema_name, count(*) AS entry_count,
 FROM (SELECT 'MRG_' || upper(core_center) AS schema_name, * FROM fx_errors) GROUP BY schema_name
 """
 
+def in_parts(sql: str, group: str, order: str) -> str:
+    """The report with a row for every 1,000 entries of a group."""
+    numbered = f"SELECT *, (row_number() OVER (PARTITION BY {group} ORDER BY {order}) - 1) // 1000 AS part_no FROM"
+    head, tail = sql.rsplit("\nFROM ", 1)
+    rows = tail.rsplit(" GROUP BY ", 1)[0]
+    return f"{head.replace('SELECT ' + group + ',', 'SELECT ' + group + ', part_no,', 1)}\nFROM ({numbered} {rows}) GROUP BY {group}, part_no"
+
+
+_SQL["failure_report_parts"] = in_parts(_SQL["failure_report"], "core_center", "table_name, procedure_name, error_message")
+_SQL["table_failure_notice_parts"] = in_parts(_SQL["table_failure_notice"], "schema_name", "table_name, error_message")
+
 ORACLES = {name: duckdb_with(sql) for name, sql in _SQL.items()}

@@ -570,6 +570,18 @@ def failure_report(x: Inputs) -> DataFrame:
     return reports.failure_report(x["fx_errors"])
 
 
+@query
+def failure_report_parts(x: Inputs) -> DataFrame:
+    """The whole report as bounded rows, however many errors a center has."""
+    return reports.failure_report(x["fx_errors"], parts=True)
+
+
+@query
+def table_failure_notice_parts(x: Inputs) -> DataFrame:
+    schema = F.concat(F.lit("MRG_"), F.upper("core_center"))
+    return reports.table_failure_notice(x["fx_errors"].withColumn("schema_name", schema), parts=True)
+
+
 @query
 def failure_report_cut(x: Inputs) -> DataFrame:
     """As a channel gets it that takes 1500 characters."""
