@@ -1,16 +1,19 @@
 """Quality rules: robust multivariate outliers within a language and source, DataFrame functions only.
 
 Each text gives statistics (counted over the whole text) and from them a vector of five
-transformed ones. Per language and source, a minimum-covariance-determinant estimate is found by
-concentration steps: distances from the estimate so far, the nearest half of the texts, their mean
-and covariance, again. They start from medians and median absolute deviations, so junk may make up
-nearly half of a group. A text is rejected when its squared Mahalanobis distance from that estimate
+transformed ones. Per language and source, a minimum-covariance-determinant estimate is found:
+from each of three starts, concentration steps (distances from the estimate so far, the nearest half
+of the texts, their mean and covariance) go on until the determinant stops falling, and the
+estimate of least determinant is taken. As half of a group makes the estimate, junk may be up to
+nearly half of it. A text is rejected when its squared Mahalanobis distance from that estimate
 passes the cut-off, and before that by the base rules.
 
-The covariance gets a floor on its diagonal, since a statistic that is zero for nearly all texts
-has no spread of its own. Groups under `MIN_TEXTS` are pooled by language, and such pools in turn
-into one; under that number no text is rejected but by the base rules. Every estimate covers all
-texts of its group that pass the base rules.
+The starts are fixed, not drawn: medians and median absolute deviations; the mean and covariance of
+the points drawn in by tanh; and those of the points' directions from the medians. The covariance has
+a floor on its diagonal, since a statistic that is zero for nearly all texts has no spread of its own;
+the determinant is that of the covariance with its floor. Groups under `MIN_TEXTS` are pooled by
+language, and such pools in turn into one; under that number no text is rejected but by the base
+rules. Every estimate covers all texts of its group that pass the base rules.
 """
 
 from __future__ import annotations
@@ -21,11 +24,17 @@ from pyspark.sql import functions as F
 from tideline.llm.common import SPACE_CHARS, WORD, fresh, stored
 
 #: Standard deviations that no coordinate of the vector goes below, in its order:
-#: word length, symbols, repeated words, repeated lines, upper case.
-FLOORS = (0.05, 0.3, 0.25, 0.5, 0.2)
+#: word length, symbols, repeated words, repeated lines, upper case. In a group without symbols or repeats, a text
+#: alone in having them is rejected from 3.6 % symbols, or 40 % of words or of lines repeated.
+FLOORS = (0.05, 0.3, 0.217, 0.433, 0.2)
 DIMS = range(len(FLOORS))
 MIN_TEXTS = 50
-STEPS = 3
+#: Steps end where the logarithm of the determinant falls by less; each step taken lowers it by as much, and the floors bound it.
+LEAST_FALL = 1e-4
+#: Brings the variance of tanh of a normal variable back to one.
+TANH_SCALE = 1.59
+#: Tables of one row a pool and start (at most 30 numbers) are broadcast up to so many rows, 5 MB; larger ones are joined in salted parts.
+SMALL, SALTS = 20_000, 64
 #: A median absolute deviation as a standard deviation.
 DEVIATION = 1.4826
 #: Quantiles of chi-square with five degrees of freedom: the median and 0.9999.
@@ -77,6 +86,7 @@ def with_statistics(docs: DataFrame, name: str) -> DataFrame:
             F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
             (F.size(parts) - F.size(F.array_distinct(parts))).cast("bigint").alias("n_dup_lines"),
             total(covered).cast("bigint").alias("n_repeat_words"),
+            F.size(parts).alias("n_lines"),
             F.regexp_count(text, F.lit(r"\p{Lu}")).cast("bigint").alias("n_upper"),
         ),
     ).drop(words, hashes, ordered, places, parts)
@@ -86,7 +96,8 @@ def with_statistics(docs: DataFrame, name: str) -> DataFrame:
         F.log(long / n),
         F.log1p(100 * at["n_symbols"] / long),
         F.log1p(5 * at["n_repeat_words"] / n),
-        F.log1p(at["n_dup_lines"].cast("double")),
+        # Four lines are added, so that one repeated line of a few does not weigh as a quarter of many.
+        F.log1p(20 * at["n_dup_lines"] / (at["n_lines"] + 4)),
         F.log1p(20 * at["n_upper"] / long),
     ]
     failed = (at["n_words"] < 50) | (100 * at["n_repeat_words"] > 50 * at["n_words"])
@@ -105,8 +116,12 @@ def squared_distance() -> Column:
     return out
 
 
+def keys_of(frame: DataFrame) -> list[str]:
+    return [c for c in ("pool", "start") if c in frame.columns]
+
+
 def whitened(moments: DataFrame) -> DataFrame:
-    """Mean and inverse Cholesky factor of each group, from its sums (one small row a group)."""
+    """Mean, inverse Cholesky factor and log determinant of each group, from its sums (one small row a group)."""
     out = moments.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in DIMS})
     for i in DIMS:
         for j in range(i + 1):
@@ -121,7 +136,8 @@ def whitened(moments: DataFrame) -> DataFrame:
         for j in reversed(range(i)):
             below = sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0))
             out = out.withColumn(f"w{i}{j}", -below / F.col(f"l{i}{i}"))
-    return out.select("pool", *[f"m{i}" for i in DIMS], *[f"w{i}{j}" for i in DIMS for j in range(i + 1)])
+    determinant = sum((2 * F.log(f"l{i}{i}") for i in DIMS), F.lit(0.0)).alias("log_det")
+    return out.select(*keys_of(moments), determinant, *[f"m{i}" for i in DIMS], *[f"w{i}{j}" for i in DIMS for j in range(i + 1)])
 
 
 def pools(vectors: DataFrame) -> DataFrame:
@@ -143,10 +159,31 @@ def same_group() -> Column:
     return F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
 
 
+def same_pool() -> Column:
+    return F.col("pool") == F.col("of_pool")
+
+
+def meet(rows: DataFrame, small: DataFrame, same: Column, how: str = "inner") -> DataFrame:
+    """The rows with what the stored table `small` says of their pool or group.
+
+    `small` is broadcast if its rows, which are counted, are few. Else each of its rows is repeated for every
+    salt and the rows are dealt by pool and salt, so a pool with most of the rows is spread.
+    """
+    if small.count() <= SMALL:
+        return rows.join(F.broadcast(small), same, how)
+    salted = small.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, same & (F.col("salt") == F.col("of_salt")), how).drop("of_salt")
+
+
+def salt() -> Column:
+    """A part for each row, to be stored with it."""
+    return F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")
+
+
 def moments(rows: DataFrame) -> DataFrame:
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in DIMS]
     products = [F.sum(F.col(f"x{j}") * F.col(f"x{i}")).alias(f"s{j}{i}") for i in DIMS for j in range(i + 1)]
-    return rows.groupBy("pool").agg(F.count("*").cast("double").alias("n"), *sums, *products)
+    return rows.groupBy(*keys_of(rows)).agg(F.count("*").cast("double").alias("n"), *sums, *products)
 
 
 def half() -> Column:
@@ -154,19 +191,26 @@ def half() -> Column:
     return F.floor((F.col("all") + len(FLOORS) + 1) / 2)
 
 
-def quantile(rows: DataFrame, needed: Column, name: str) -> DataFrame:
-    """(pool, name): the distance bin by which `needed` texts of the pool are reached. Counts by bin, so no sort of a group."""
+def distance_bin() -> Column:
+    return F.floor(BINS * F.log2(1 + squared_distance()))
+
+
+def quantile(rows: DataFrame, needed: Column) -> DataFrame:
+    """(keys, edge): the distance bin by which `needed` texts are reached. Counts by bin, so no sort of a group."""
     from pyspark.sql import Window
 
-    counts = rows.groupBy("pool", "bin").agg(F.count("*").alias("n"))
-    so_far, whole = Window.partitionBy("pool").orderBy("bin"), Window.partitionBy("pool")
+    keys = keys_of(rows)
+    counts = rows.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
+    so_far, whole = Window.partitionBy(*keys).orderBy("bin"), Window.partitionBy(*keys)
     counts = counts.withColumns({"below": F.sum("n").over(so_far), "all": F.sum("n").over(whole)})
-    return counts.where(F.col("below") >= needed).groupBy("pool").agg(F.min("bin").alias(name))
+    return counts.where(F.col("below") >= needed).groupBy(*keys).agg(F.min("bin").alias("edge"))
 
 
-def with_bins(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    kept = [*rows.columns, F.floor(BINS * F.log2(1 + squared_distance())).alias("bin")]
-    return rows.join(estimate, "pool").select(*kept)
+def with_edges(rows: DataFrame, estimate: DataFrame, needed: Column) -> DataFrame:
+    """The estimates with the edge of their nearest `needed` texts."""
+    binned = meet(rows, estimate.withColumnRenamed("pool", "of_pool"), same_pool())
+    edges = quantile(binned.select(*keys_of(estimate), distance_bin().alias("bin")), needed)
+    return stored(estimate.join(edges, keys_of(estimate)))
 
 
 def middles(rows: DataFrame, values: list[Column], name: str) -> DataFrame:
@@ -174,40 +218,76 @@ def middles(rows: DataFrame, values: list[Column], name: str) -> DataFrame:
     return rows.groupBy("pool").agg(*[F.percentile_approx(v, F.lit(0.5), F.lit(1000)).alias(f"{name}{i}") for i, v in enumerate(values)])
 
 
-def start(rows: DataFrame) -> DataFrame:
-    """Each pool's medians and inverse median absolute deviations, in the columns of an estimate."""
+def starts(rows: DataFrame) -> DataFrame:
+    """(pool, start, log_det, mean, factor): three estimates for each pool to start from, not yet of any subset."""
     centre = stored(middles(rows, [F.col(f"x{i}") for i in DIMS], "m"))
-    spread = middles(rows.join(centre, "pool"), [F.abs(F.col(f"x{i}") - F.col(f"m{i}")) for i in DIMS], "d")
-    whole = [1 / F.sqrt((DEVIATION * F.col(f"d{i}")) ** 2 + FLOORS[i] ** 2) for i in DIMS]
-    factor = [(whole[i] if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i in DIMS for j in range(i + 1)]
-    return centre.join(spread, "pool").select("pool", *[f"m{i}" for i in DIMS], *factor)
+    about = meet(rows, centre.withColumnRenamed("pool", "of_pool"), same_pool())
+    spread = middles(about.select("pool", *[F.abs(F.col(f"x{i}") - F.col(f"m{i}")).alias(f"a{i}") for i in DIMS]), [F.col(f"a{i}") for i in DIMS], "d")
+    whole = [F.sqrt((DEVIATION * F.col(f"d{i}")) ** 2 + FLOORS[i] ** 2).alias(f"d{i}") for i in DIMS]
+    scale = stored(centre.join(spread, "pool").select("pool", *[f"m{i}" for i in DIMS], *whole))
+    factor = [(1 / F.col(f"d{i}") if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i in DIMS for j in range(i + 1)]
+    medians = scale.select("pool", F.lit("medians").alias("start"), F.lit(float("inf")).alias("log_det"), *[f"m{i}" for i in DIMS], *factor)
+
+    z = [(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"d{i}") for i in DIMS]
+    length = F.sqrt(F.greatest(sum((v * v for v in z), F.lit(0.0)), F.lit(1e-12)))
+    kinds = {"drawn in": [TANH_SCALE * F.tanh(v) for v in z], "directions": [len(FLOORS) ** 0.5 * v / length for v in z]}
+    points = [
+        F.struct(F.lit(kind).alias("start"), *[(F.col(f"m{i}") + F.col(f"d{i}") * v).alias(f"x{i}") for i, v in enumerate(moved)])
+        for kind, moved in kinds.items()
+    ]
+    moved = meet(rows, scale.withColumnRenamed("pool", "of_pool"), same_pool())
+    moved = moved.select("pool", F.explode(F.array(*points)).alias("point")).select("pool", "point.*")
+    others = whitened(moments(moved)).withColumn("log_det", F.lit(float("inf")))
+    return medians.unionByName(others)
+
+
+def concentrated(rows: DataFrame) -> DataFrame:
+    """(pool, log_det, mean, factor) of least determinant over all starts of each pool.
+
+    A start whose determinant has stopped falling keeps its last estimate and reads no further rows. Texts
+    that tie with the farthest of the half are all taken. Equal determinants: the first start by name.
+    """
+    going, done = stored(starts(rows)), None
+    numbers = [c for c in going.columns if c not in ("pool", "start")]
+    while going.count():
+        marked = with_edges(rows, going, half())
+        near = meet(rows, marked.withColumnRenamed("pool", "of_pool"), same_pool())
+        near = near.where(distance_bin() <= F.col("edge")).select(*keys_of(near), *[f"x{i}" for i in DIMS])
+        after = whitened(moments(near)).select("pool", "start", F.struct(*numbers).alias("after"))
+        both = going.select("pool", "start", F.struct(*numbers).alias("before")).join(after, ["pool", "start"])
+        fell = F.col("after.log_det") < F.col("before.log_det") - LEAST_FALL
+        both = stored(both.withColumn("fell", fell))
+        ended = both.where(~F.col("fell")).select("pool", "start", "before.*")
+        going = both.where("fell").select("pool", "start", "after.*")
+        done = ended if done is None else done.unionByName(ended)
+    order = ["log_det", "start", *[c for c in numbers if c != "log_det"]]
+    return done.groupBy("pool").agg(F.min(F.struct(*order)).alias("least")).select("pool", "least.*").drop("start")
 
 
 def estimates(stats: DataFrame) -> DataFrame:
-    """(g_lang, g_source, mean, factor, limit): what each language and source is judged by.
+    """(g_lang, g_source, log_det, mean, factor, limit): what each language and source is judged by.
 
-    `stats` holds lang, source, base_failed and the vector of every text; only texts that pass
+    `stats` holds lang, source, base_failed, salt and the vector of every text; only texts that pass
     the base rules count. Nulls in lang or source are groups like others.
     """
-    vectors = stats.where(~F.col("base_failed")).select("lang", "source", *[f"x{i}" for i in DIMS])
+    vectors = stats.where(~F.col("base_failed")).select("lang", "source", "salt", *[f"x{i}" for i in DIMS])
     to_pool = stored(pools(vectors))
-    rows = stored(vectors.join(to_pool, same_group()).select("pool", *[f"x{i}" for i in DIMS]))
-    estimate = stored(start(rows))
-    for _ in range(STEPS):
-        binned = with_bins(rows, estimate)
-        nearest = binned.join(quantile(binned, half(), "edge"), "pool").where(F.col("bin") <= F.col("edge"))
-        estimate = stored(whitened(moments(nearest)))
+    rows = stored(meet(vectors, to_pool, same_group()).select("pool", "salt", *[f"x{i}" for i in DIMS]))
+    if to_pool.isEmpty():
+        estimate = starts(rows).drop("start")
+    else:
+        estimate = concentrated(rows)
     # The median distance of the group brings the cut-off to the scale of its bulk.
-    middle = quantile(with_bins(rows, estimate), 0.5 * F.col("all"), "edge")
+    judged = with_edges(rows, stored(estimate), 0.5 * F.col("all"))
     scale = F.greatest(F.lit(1.0), (F.pow(F.lit(2.0), (F.col("edge") + 1) / BINS) - 1) / MEDIAN)
-    judged = estimate.join(middle, "pool").withColumn("limit", CUTOFF * scale).drop("edge")
+    judged = judged.withColumn("limit", CUTOFF * scale).drop("edge")
     return stored(to_pool.join(judged, "pool").drop("pool"))
 
 
 def judged(stats: DataFrame, estimate: DataFrame) -> DataFrame:
     """The statistics with distance (null without an estimate) and kept."""
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("limit"), F.lit(True))
-    out = stats.join(estimate, same_group(), "left").withColumn("distance", squared_distance())
+    out = meet(stats, estimate, same_group(), "left").withColumn("distance", squared_distance())
     return out.withColumn("kept", kept)
 
 
@@ -215,7 +295,7 @@ def flat(docs: DataFrame, *keep: str) -> DataFrame:
     """One row a text: `keep`, lang, source and its statistics as columns."""
     named = dict.fromkeys([*keep, "lang", "source"])
     rows = with_statistics(docs.select(*named, "text"), "statistics")
-    return rows.select(*named, "statistics.*")
+    return rows.select(*named, salt(), "statistics.*")
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
@@ -237,5 +317,5 @@ def keep_regular(docs: DataFrame) -> DataFrame:
     (box,) = fresh(docs, "statistics_of_row")
     marks = [F.col(box)[c].alias(c) for c in ["base_failed", *[f"x{i}" for i in DIMS]]]
     rows = with_statistics(docs, box)
-    rows = stored(rows.select(F.struct(*docs.columns).alias("row"), "lang", "source", *marks))
+    rows = stored(rows.select(F.struct(*docs.columns).alias("row"), "lang", "source", salt(), *marks))
     return judged(rows, estimates(rows.drop("row"))).where("kept").select("row.*")
