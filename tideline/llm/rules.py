@@ -9,7 +9,9 @@ nearly half of it. A text is rejected when its squared Mahalanobis distance from
 passes the cut-off, and before that by the base rules.
 
 The starts are fixed, not drawn: medians and median absolute deviations; the mean and covariance of
-the points drawn in by tanh; and those of the points' directions from the medians. The covariance has
+the points drawn in by tanh; and those of the points' directions from the medians. They stay with the
+bulk of a group; a half that has a smaller determinant elsewhere, around many copies of one junk text, is
+not looked for. The covariance has
 a floor on its diagonal, since a statistic that is zero for nearly all texts has no spread of its own;
 the determinant is that of the covariance with its floor. Groups under `MIN_TEXTS` are pooled by
 language, and such pools in turn into one; under that number no text is rejected but by the base
@@ -30,7 +32,7 @@ FLOORS = (0.05, 0.3, 0.217, 0.433, 0.2)
 DIMS = range(len(FLOORS))
 MIN_TEXTS = 50
 #: Steps end where the logarithm of the determinant falls by less; each step taken lowers it by as much, and the floors bound it.
-LEAST_FALL = 1e-4
+LEAST_FALL = 1e-3
 #: Brings the variance of tanh of a normal variable back to one.
 TANH_SCALE = 1.59
 #: Tables of one row a pool and start (at most 30 numbers) are broadcast up to so many rows, 5 MB; larger ones are joined in salted parts.
@@ -109,11 +111,8 @@ def with_statistics(docs: DataFrame, name: str) -> DataFrame:
 
 def squared_distance() -> Column:
     """Squared length of the whitened difference from the mean; the factor's rows are flat columns."""
-    out = F.lit(0.0)
-    for i in DIMS:
-        y = sum((F.col(f"w{i}{j}") * (F.col(f"x{j}") - F.col(f"m{j}")) for j in range(i + 1)), F.lit(0.0))
-        out = out + y * y
-    return out
+    parts = ["(" + " + ".join(f"w{i}{j} * (x{j} - m{j})" for j in range(i + 1)) + ")" for i in DIMS]
+    return F.expr(" + ".join(f"{y} * {y}" for y in parts))
 
 
 def keys_of(frame: DataFrame) -> list[str]:
@@ -121,23 +120,29 @@ def keys_of(frame: DataFrame) -> list[str]:
 
 
 def whitened(moments: DataFrame) -> DataFrame:
-    """Mean, inverse Cholesky factor and log determinant of each group, from its sums (one small row a group)."""
-    out = moments.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in DIMS})
+    """Mean, inverse Cholesky factor and log determinant of each group, from its sums (one small row a group).
+
+    Written as texts of expressions and in few levels, since planning is most of the time these rows take.
+    """
+
+    def minus(first: str, products: list[str]) -> str:
+        return " - ".join([first, *products])
+
+    cov = {(j, i): f"s{j}{i} / n - (s{i} / n) * (s{j} / n)" for i in DIMS for j in range(i + 1)}
+    named = [f"s{i} / n AS m{i}" for i in DIMS]
+    named += [f"{f'greatest({c}, 0D) + {FLOORS[i]}D * {FLOORS[i]}D' if i == j else c} AS c{i}{j}" for (j, i), c in cov.items()]
+    out = moments.selectExpr(*keys_of(moments), *named)
     for i in DIMS:
-        for j in range(i + 1):
-            cov = F.col(f"s{j}{i}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
-            cov = F.greatest(cov, F.lit(0.0)) + FLOORS[i] ** 2 if i == j else cov
-            rest = cov - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            # The floor keeps what is left of the diagonal positive; rounding cannot take it below a millionth.
-            value = F.sqrt(F.greatest(rest, F.lit(1e-6 * FLOORS[i] ** 2))) if i == j else rest / F.col(f"l{j}{j}")
-            out = out.withColumn(f"l{i}{j}", value)
+        # The floor keeps what is left of the diagonal positive; rounding cannot take it below a millionth.
+        rest = minus(f"c{i}{i}", [f"l{i}{k} * l{i}{k}" for k in range(i)])
+        out = out.selectExpr("*", f"sqrt(greatest({rest}, 1e-6D * {FLOORS[i]}D * {FLOORS[i]}D)) AS l{i}{i}")
+        below = [f"({minus(f'c{j}{i}', [f'l{j}{k} * l{i}{k}' for k in range(i)])}) / l{i}{i} AS l{j}{i}" for j in DIMS if j > i]
+        out = out.selectExpr("*", *below) if below else out
     for i in DIMS:
-        out = out.withColumn(f"w{i}{i}", 1 / F.col(f"l{i}{i}"))
-        for j in reversed(range(i)):
-            below = sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0))
-            out = out.withColumn(f"w{i}{j}", -below / F.col(f"l{i}{i}"))
-    determinant = sum((2 * F.log(f"l{i}{i}") for i in DIMS), F.lit(0.0)).alias("log_det")
-    return out.select(*keys_of(moments), determinant, *[f"m{i}" for i in DIMS], *[f"w{i}{j}" for i in DIMS for j in range(i + 1)])
+        row = [f"-({' + '.join(f'l{i}{k} * w{k}{j}' for k in range(j, i))}) / l{i}{i} AS w{i}{j}" for j in range(i)]
+        out = out.selectExpr("*", f"1 / l{i}{i} AS w{i}{i}", *row)
+    determinant = "2 * (" + " + ".join(f"ln(l{i}{i})" for i in DIMS) + ") AS log_det"
+    return out.selectExpr(*keys_of(moments), determinant, *[f"m{i}" for i in DIMS], *[f"w{i}{j}" for i in DIMS for j in range(i + 1)])
 
 
 def pools(vectors: DataFrame) -> DataFrame:
@@ -163,13 +168,18 @@ def same_pool() -> Column:
     return F.col("pool") == F.col("of_pool")
 
 
-def meet(rows: DataFrame, small: DataFrame, same: Column, how: str = "inner") -> DataFrame:
+def is_few(to_pool: DataFrame) -> bool:
+    """Whether tables with three rows for each group, so for each pool, may be broadcast."""
+    return 3 * to_pool.count() <= SMALL
+
+
+def meet(rows: DataFrame, small: DataFrame, same: Column, few: bool, how: str = "inner") -> DataFrame:
     """The rows with what the stored table `small` says of their pool or group.
 
-    `small` is broadcast if its rows, which are counted, are few. Else each of its rows is repeated for every
+    `small` is broadcast if its rows are `few`. Else each of its rows is repeated for every
     salt and the rows are dealt by pool and salt, so a pool with most of the rows is spread.
     """
-    if small.count() <= SMALL:
+    if few:
         return rows.join(F.broadcast(small), same, how)
     salted = small.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return rows.join(salted, same & (F.col("salt") == F.col("of_salt")), how).drop("of_salt")
@@ -181,9 +191,8 @@ def salt() -> Column:
 
 
 def moments(rows: DataFrame) -> DataFrame:
-    sums = [F.sum(f"x{i}").alias(f"s{i}") for i in DIMS]
-    products = [F.sum(F.col(f"x{j}") * F.col(f"x{i}")).alias(f"s{j}{i}") for i in DIMS for j in range(i + 1)]
-    return rows.groupBy(*keys_of(rows)).agg(F.count("*").cast("double").alias("n"), *sums, *products)
+    sums = [f"sum(x{i}) AS s{i}" for i in DIMS] + [f"sum(x{j} * x{i}) AS s{j}{i}" for i in DIMS for j in range(i + 1)]
+    return rows.groupBy(*keys_of(rows)).agg(F.expr("CAST(count(*) AS double) AS n"), *map(F.expr, sums))
 
 
 def half() -> Column:
@@ -206,9 +215,9 @@ def quantile(rows: DataFrame, needed: Column) -> DataFrame:
     return counts.where(F.col("below") >= needed).groupBy(*keys).agg(F.min("bin").alias("edge"))
 
 
-def with_edges(rows: DataFrame, estimate: DataFrame, needed: Column) -> DataFrame:
+def with_edges(rows: DataFrame, estimate: DataFrame, needed: Column, few: bool) -> DataFrame:
     """The estimates with the edge of their nearest `needed` texts."""
-    binned = meet(rows, estimate.withColumnRenamed("pool", "of_pool"), same_pool())
+    binned = meet(rows, estimate.withColumnRenamed("pool", "of_pool"), same_pool(), few)
     edges = quantile(binned.select(*keys_of(estimate), distance_bin().alias("bin")), needed)
     return stored(estimate.join(edges, keys_of(estimate)))
 
@@ -218,10 +227,10 @@ def middles(rows: DataFrame, values: list[Column], name: str) -> DataFrame:
     return rows.groupBy("pool").agg(*[F.percentile_approx(v, F.lit(0.5), F.lit(1000)).alias(f"{name}{i}") for i, v in enumerate(values)])
 
 
-def starts(rows: DataFrame) -> DataFrame:
+def starts(rows: DataFrame, few: bool) -> DataFrame:
     """(pool, start, log_det, mean, factor): three estimates for each pool to start from, not yet of any subset."""
     centre = stored(middles(rows, [F.col(f"x{i}") for i in DIMS], "m"))
-    about = meet(rows, centre.withColumnRenamed("pool", "of_pool"), same_pool())
+    about = meet(rows, centre.withColumnRenamed("pool", "of_pool"), same_pool(), few)
     spread = middles(about.select("pool", *[F.abs(F.col(f"x{i}") - F.col(f"m{i}")).alias(f"a{i}") for i in DIMS]), [F.col(f"a{i}") for i in DIMS], "d")
     whole = [F.sqrt((DEVIATION * F.col(f"d{i}")) ** 2 + FLOORS[i] ** 2).alias(f"d{i}") for i in DIMS]
     scale = stored(centre.join(spread, "pool").select("pool", *[f"m{i}" for i in DIMS], *whole))
@@ -235,23 +244,23 @@ def starts(rows: DataFrame) -> DataFrame:
         F.struct(F.lit(kind).alias("start"), *[(F.col(f"m{i}") + F.col(f"d{i}") * v).alias(f"x{i}") for i, v in enumerate(moved)])
         for kind, moved in kinds.items()
     ]
-    moved = meet(rows, scale.withColumnRenamed("pool", "of_pool"), same_pool())
+    moved = meet(rows, scale.withColumnRenamed("pool", "of_pool"), same_pool(), few)
     moved = moved.select("pool", F.explode(F.array(*points)).alias("point")).select("pool", "point.*")
     others = whitened(moments(moved)).withColumn("log_det", F.lit(float("inf")))
     return medians.unionByName(others)
 
 
-def concentrated(rows: DataFrame) -> DataFrame:
+def concentrated(rows: DataFrame, few: bool) -> DataFrame:
     """(pool, log_det, mean, factor) of least determinant over all starts of each pool.
 
     A start whose determinant has stopped falling keeps its last estimate and reads no further rows. Texts
     that tie with the farthest of the half are all taken. Equal determinants: the first start by name.
     """
-    going, done = stored(starts(rows)), None
+    going, done = stored(starts(rows, few)), None
     numbers = [c for c in going.columns if c not in ("pool", "start")]
     while going.count():
-        marked = with_edges(rows, going, half())
-        near = meet(rows, marked.withColumnRenamed("pool", "of_pool"), same_pool())
+        marked = with_edges(rows, going, half(), few)
+        near = meet(rows, marked.withColumnRenamed("pool", "of_pool"), same_pool(), few)
         near = near.where(distance_bin() <= F.col("edge")).select(*keys_of(near), *[f"x{i}" for i in DIMS])
         after = whitened(moments(near)).select("pool", "start", F.struct(*numbers).alias("after"))
         both = going.select("pool", "start", F.struct(*numbers).alias("before")).join(after, ["pool", "start"])
@@ -272,13 +281,14 @@ def estimates(stats: DataFrame) -> DataFrame:
     """
     vectors = stats.where(~F.col("base_failed")).select("lang", "source", "salt", *[f"x{i}" for i in DIMS])
     to_pool = stored(pools(vectors))
-    rows = stored(meet(vectors, to_pool, same_group()).select("pool", "salt", *[f"x{i}" for i in DIMS]))
+    few = is_few(to_pool)
+    rows = stored(meet(vectors, to_pool, same_group(), few).select("pool", "salt", *[f"x{i}" for i in DIMS]))
     if to_pool.isEmpty():
-        estimate = starts(rows).drop("start")
+        estimate = starts(rows, few).drop("start")
     else:
-        estimate = concentrated(rows)
+        estimate = concentrated(rows, few)
     # The median distance of the group brings the cut-off to the scale of its bulk.
-    judged = with_edges(rows, stored(estimate), 0.5 * F.col("all"))
+    judged = with_edges(rows, stored(estimate), 0.5 * F.col("all"), few)
     scale = F.greatest(F.lit(1.0), (F.pow(F.lit(2.0), (F.col("edge") + 1) / BINS) - 1) / MEDIAN)
     judged = judged.withColumn("limit", CUTOFF * scale).drop("edge")
     return stored(to_pool.join(judged, "pool").drop("pool"))
@@ -287,7 +297,7 @@ def estimates(stats: DataFrame) -> DataFrame:
 def judged(stats: DataFrame, estimate: DataFrame) -> DataFrame:
     """The statistics with distance (null without an estimate) and kept."""
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("limit"), F.lit(True))
-    out = meet(stats, estimate, same_group(), "left").withColumn("distance", squared_distance())
+    out = meet(stats, estimate, same_group(), is_few(estimate), "left").withColumn("distance", squared_distance())
     return out.withColumn("kept", kept)
 
 
