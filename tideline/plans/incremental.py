@@ -31,8 +31,9 @@ from tideline.operators.upsert import src, truncate, upsert
 from tideline.plans import layers, load_plan
 from tideline.plans.load_plan import LAYERS
 from tideline.plans.reports import failure_report, run_state
+from tideline.sources.landing import landing
 from tideline.sources.manifest import read_manifest
-from tideline.sources.objects import read_changes, subfolder_listing
+from tideline.sources.objects import read_changes
 from tideline.sources.footers import write_observed
 from tideline.sources.partitions import PartitionedTable
 from tideline.sources.versions import VersionedTable, subfolders
@@ -266,25 +267,26 @@ def raw_windows(center: Center, plan: DataFrame, progress: DataFrame) -> dict[st
     """Folders to load per planned table and schema id: above what the raw layer holds, up to the manifest.
 
     The window starts at the raw layer's newest folder rather than at the loaded manifest, which
-    has advanced already when a failed raw load is repeated. The names of the window's folders come to
-    the driver, which opens them by name: new folders, not those of all history.
+    has advanced already when a failed raw load is repeated. One row a planned table and the names of the window's
+    folders come to the driver, which opens them by name: new folders, not those of all history, which do not leave the tasks.
     """
-    roots = plan.where("load_raw").select(F.concat(F.lit(f"{center.source_root}/"), "table_name").alias("folder"))
-    parts = F.split("folder", "/")
-    found = subfolder_listing(roots).select(
-        F.element_at(parts, -3).alias("table_name"),
-        F.element_at(parts, -2).alias("cda_schema_id"),
-        F.element_at(parts, -1).alias("cda_timestamp"),
-    )
     held = progress.select("table_name", "raw_folder")
-    bounds = plan.join(held, "table_name", "left").select(
-        "table_name",
-        F.col("load_raw").alias("load_s3"),
-        F.when(F.col("raw_status") != "initial", F.col("raw_folder")).alias("dest_cda_folder"),
-        "src_cda_folder",
+    bounds = (
+        plan.where("load_raw")
+        .join(held, "table_name", "left")
+        .select(
+            "table_name",
+            F.when(F.col("raw_status") != "initial", F.col("raw_folder")).alias("low"),
+            F.col("src_cda_folder").cast("bigint").alias("high"),
+        )
+        .where("high IS NOT NULL")
+        .collect()
     )
-    window = load_plan.folder_window(found, bounds).select("table_name", "cda_schema_id", "cda_timestamp")
     result: dict[str, dict[str, list[str]]] = {}
+    if not bounds:
+        return result
+    low, high = {r["table_name"]: r["low"] or 0 for r in bounds}, {r["table_name"]: r["high"] for r in bounds}
+    window = landing(center.spark, center.source_root, low, high, level="folders")
     for name, schema_id, folder in sorted(map(tuple, window.collect())):
         result.setdefault(name, {}).setdefault(schema_id, []).append(folder)
     return result

@@ -11,9 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.keys import DATA_SUFFIX, is_data_file
+from tideline.sources.stores import open_store, uri_prefix
 
 #: Folders opened by one scan.
 FOLDERS_PER_SCAN = 10_000
+#: Entries of a folder that are sent on at once.
+ENTRIES_PER_BATCH = 10_000
 LISTING_SCHEMA = "object_key string, size_bytes bigint, last_modified timestamp"
 
 
@@ -40,17 +43,19 @@ def _children(batches: Iterator[pa.RecordBatch], want: pafs.FileType) -> Iterato
     """Files or folders directly below each folder of a task's share."""
     for batch in batches:
         for uri in batch.column("folder").to_pylist():
-            store, path = pafs.FileSystem.from_uri(uri)
-            scheme = uri[: len(uri) - len(path)] if uri.endswith(path) else ""
+            store, path = open_store(uri)
+            prefix = uri_prefix(uri, path)
             listed = store.get_file_info(pafs.FileSelector(path, allow_not_found=True))
             found = [i for i in listed if i.type == want]
-            yield pa.record_batch(
-                {
-                    "object_key": pa.array([scheme + i.path for i in found], pa.string()),
-                    "size_bytes": pa.array([i.size or 0 for i in found], pa.int64()),
-                    "last_modified": pa.array([i.mtime for i in found], pa.timestamp("us", "UTC")),
-                }
-            )
+            for at in range(0, len(found), ENTRIES_PER_BATCH):
+                entries = found[at : at + ENTRIES_PER_BATCH]
+                yield pa.record_batch(
+                    {
+                        "object_key": pa.array([prefix + i.path for i in entries], pa.string()),
+                        "size_bytes": pa.array([i.size or 0 for i in entries], pa.int64()),
+                        "last_modified": pa.array([i.mtime for i in entries], pa.timestamp("us", "UTC")),
+                    }
+                )
 
 
 def _listed(folders: DataFrame, want: pafs.FileType) -> DataFrame:

@@ -15,13 +15,13 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tideline.operators.upsert import ACTION
 from tideline.sources.footers import observed
+from tideline.sources.stores import open_store
 from tideline.sources.versions import Merge, VersionedTable, subfolders
 
 CONTROL = "part int, load bigint, row_count bigint"
@@ -139,7 +139,7 @@ class PartitionedTable:
         used = {r["load"] for r in control.select("load").distinct().collect()}
         for number, folder in subfolders(self.path, "load").items():
             if int(number) not in used and int(number) < max(used, default=0):
-                store, at = pafs.FileSystem.from_uri(folder)
+                store, at = open_store(folder)
                 store.delete_dir(at)
                 gone.append(folder)
         return gone

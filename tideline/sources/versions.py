@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from tideline.operators.upsert import ACTION
 from tideline.sources.footers import observed
+from tideline.sources.stores import open_store
 
 
 class Merge(NamedTuple):
@@ -28,7 +29,7 @@ class Merge(NamedTuple):
 
 def subfolders(path: str, name: str) -> dict[str, str]:
     """Folders `name=value` directly below a path, by value."""
-    store, folder = pafs.FileSystem.from_uri(path)
+    store, folder = open_store(path)
     listed = store.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
     found = [i.base_name for i in listed if i.type == pafs.FileType.Directory and i.base_name.startswith(f"{name}=")]
     return {base.split("=", 1)[1]: f"{path.rstrip('/')}/{base}" for base in sorted(found)}
@@ -59,7 +60,7 @@ class VersionedTable:
 
     def publish(self, version: int) -> None:
         """Let readers have a version, once it is known to be sound. Repeating it does no harm."""
-        store, marker = pafs.FileSystem.from_uri(f"{self._folder(version)}/{self.marker}")
+        store, marker = open_store(f"{self._folder(version)}/{self.marker}")
         with store.open_output_stream(marker):
             pass
 
@@ -141,11 +142,11 @@ class VersionedTable:
             if number < oldest:
                 if self.buckets:
                     self.spark.sql(f"DROP TABLE IF EXISTS {self._name(number)}")
-                store, folder = pafs.FileSystem.from_uri(self._folder(number))
+                store, folder = open_store(self._folder(number))
                 store.delete_dir(folder)
                 gone.append(self._folder(number))
         return gone
 
     def _finished(self, version: int) -> bool:
-        store, marker = pafs.FileSystem.from_uri(f"{self._folder(version)}/{self.marker}")
+        store, marker = open_store(f"{self._folder(version)}/{self.marker}")
         return store.get_file_info(marker).type == pafs.FileType.File

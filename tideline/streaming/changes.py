@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 from tideline.context import RunContext
 from tideline.functions.keys import DATA_SUFFIX
 from tideline.plans.layers import empty_merged, merge_load
+from tideline.sources.stores import open_store
 from tideline.sources.versions import VersionedTable
 
 
@@ -38,7 +39,7 @@ def change_stream(spark: SparkSession, root: str, schema: StructType, files_per_
 
 
 def read_json(path: str) -> dict | None:
-    store, at = pafs.FileSystem.from_uri(path)
+    store, at = open_store(path)
     if store.get_file_info(at).type != pafs.FileType.File:
         return None
     with store.open_input_stream(at) as stream:
@@ -50,7 +51,7 @@ def record_path(target: VersionedTable, version: int) -> str:
 
 
 def write_record(target: VersionedTable, version: int, record: dict) -> None:
-    store, at = pafs.FileSystem.from_uri(record_path(target, version))
+    store, at = open_store(record_path(target, version))
     store.create_dir(at.rsplit("/", 1)[0])
     with store.open_output_stream(at) as stream:
         stream.write(json.dumps(record).encode())
