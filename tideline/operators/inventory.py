@@ -23,9 +23,14 @@ def with_path_parts(listing: DataFrame) -> DataFrame:
     return listing.withColumns(path_parts(F.col("object_key")))
 
 
+def folder_rows(listing: DataFrame) -> DataFrame:
+    """The folder of every data file, a row for each file."""
+    return with_path_parts(data_files(listing)).select(*FOLDER)
+
+
 def folders(listing: DataFrame) -> DataFrame:
     """Every table, schema id and timestamp folder that holds a data file."""
-    return with_path_parts(data_files(listing)).select(*FOLDER).distinct()
+    return folder_rows(listing).distinct()
 
 
 def file_rollup(listing: DataFrame, ctx: RunContext, system: str, core_center: str) -> DataFrame:

@@ -89,19 +89,28 @@ def initial_load_plan(
     return load_plan(new_manifest, truncate(loaded_manifest), truncate(load_status), s3_on=s3_on, mrg_on=mrg_on)
 
 
+#: Bounds (one row a planned table, three short values) are broadcast up to so many, some 2 MB.
+FEW_TABLES = 20_000
+
+
 def folder_window(folders: DataFrame, plan: DataFrame) -> DataFrame:
     """Folders above the last loaded one and up to the manifest's, for tables to load from storage.
 
-    Folders at or below the low mark are never picked up again.
+    Folders at or below the low mark are never picked up again. Pass a plan that is stored: its rows are
+    counted here, and few of them are broadcast, so that no table's folders meet in one task.
     """
     bounds = plan.where("load_s3").select(
-        "table_name", F.coalesce("dest_cda_folder", F.lit(0)).alias("_low"), F.col("src_cda_folder").alias("_high")
+        F.col("table_name").alias("_table"), F.coalesce("dest_cda_folder", F.lit(0)).alias("_low"), F.col("src_cda_folder").alias("_high")
     )
+    if bounds.limit(FEW_TABLES + 1).count() <= FEW_TABLES:
+        bounds = F.broadcast(bounds)
     stamp = F.col("cda_timestamp").cast("bigint")
+    # Both tests are written so that Spark derives no null checks from them: it would put those before the projection
+    # and take each path apart several times. A planned table has a name.
     return (
-        folders.join(bounds, "table_name")
-        .where((stamp > F.col("_low")) & (stamp <= F.col("_high")))
-        .drop("_low", "_high")
+        folders.join(bounds, F.col("table_name").eqNullSafe(F.col("_table")))
+        .where(F.coalesce((stamp > F.col("_low")) & (stamp <= F.col("_high")), F.lit(False)))
+        .drop("_table", "_low", "_high")
     )
 
 

@@ -165,7 +165,8 @@ def mode_flags(x: Inputs) -> DataFrame:
 
 @query
 def folder_window(x: Inputs) -> DataFrame:
-    return load_plan.folder_window(inventory.folders(x["fx_objects"]), _plan(x))
+    # Files outside the window go before folders are made distinct.
+    return load_plan.folder_window(inventory.folder_rows(x["fx_objects"]), _plan(x).checkpoint()).distinct()
 
 
 def _loaded_manifest(x: Inputs) -> DataFrame:
