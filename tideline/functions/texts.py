@@ -27,5 +27,6 @@ def json_payload(columns: Sequence[str]) -> Column:
 
 def hex_order(value: Column) -> Column:
     """A sort value of hexadecimal text: numbers in order, whatever their width, case, `0x` or leading zeros."""
-    digits = F.regexp_replace(F.upper(value), "^(0X)?0*", "")
+    text = F.upper(value)
+    digits = F.ltrim(F.when(text.startswith("0X"), F.substr(text, F.lit(3))).otherwise(text), F.lit("0"))
     return F.struct(F.char_length(digits).alias("digits"), digits.alias("text"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 ACTION = "_action"
 _IN_TARGET = "_in_target"
 _IN_SOURCE = "_in_source"
+_HIT = "_hit"
 
 
 def src(name: str) -> Column:
@@ -83,6 +84,8 @@ def upsert(
     hit = F.col(_IN_SOURCE).isNotNull()
     if update_when is not None:
         hit = hit & F.coalesce(update_when, F.lit(False))
+    # A column of its own, as the condition would be worked out again for every updated column.
+    joined, hit = joined.withColumn(_HIT, hit), F.col(_HIT)
 
     def value(field) -> Column:
         kept = F.when(hit, update[field.name]).otherwise(tgt(field.name)) if field.name in update else tgt(field.name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.context import RunContext, ntz
@@ -320,12 +320,23 @@ def merge_touched_partitions(x: Inputs) -> DataFrame:
     return partitions.touched_partitions(first, changes.where(~in_first), ["id"], PARTS, step)
 
 
+def _sixteen_digits(number: str) -> Column:
+    """A whole number as 16 hexadecimal digits that ascend with it, negative ones and nulls first."""
+    shifted = F.col(number).cast("bigint").bitwiseXOR(F.lit(-(2**63)))
+    return F.lpad(F.coalesce(F.hex(shifted), F.lit("0")), 16, "0")
+
+
 @query
 def merge_load_hex_order(x: Inputs) -> DataFrame:
-    """The line changes ordered by a hexadecimal sequence without padding, in two batches."""
-    number = F.datediff("l_shipdate", F.lit("1992-01-01").cast("date")) * 8 + F.col("l_linenumber")
-    rank = number * F.lit(2**33).cast("decimal(20,0)") + F.col("l_partkey") * 2**13 + F.col("l_suppkey")
-    changes = x["fx_line_changes"].withColumn("sequence", F.concat(F.lit("0x"), F.hex(rank.cast("bigint"))))
+    """The line changes ordered by a hexadecimal sequence, in two batches.
+
+    The sequence is one number: the digits of the time of shipment, then the line, part and supplier at full width, so
+    that no key runs into the digits before it.
+    """
+    shipped = F.rpad(F.translate(F.col("l_shipdate").cast("string"), "-: .", ""), 20, "0")
+    rest = [_sixteen_digits(c) for c in ("l_linenumber", "l_partkey", "l_suppkey")]
+    sequence = F.concat(F.lit("0x"), F.coalesce(shipped, F.lit("0")), *rest)
+    changes = x["fx_line_changes"].withColumn("sequence", sequence)
     options = {"order": ["sequence"], "hexadecimal": ["sequence"]}
     in_first = F.col("operation") == "U"
     first = layers.merge_load(layers.empty_merged(changes), changes.where(in_first), EARLIER, **options)
