@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tideline.functions import quotas as q
 from tideline.functions.arrays import append_when, no_strings, symmetric_difference
 from tideline.functions.keys import join_prefix, landing_key, path_parts, strip_slashes
-from tideline.functions.names import in_tenant, matches_any
+from tideline.functions.names import BLOCKED_PATTERNS, in_tenant, matches_any
 from tideline.functions.texts import cut, hex_order, json_payload, last_line
 from tideline.plans.quota import quota_figures, quota_message, quota_report
 from tideline.plans.reports import SEPARATOR, failure_report, notices, run_state
@@ -224,3 +224,32 @@ def test_run_state():
     assert run_state(0, True, False, 0) == "no_work"
     assert run_state(3, True, True, 1) == "failure"
     assert run_state(3, True, True, 0) == "success"
+
+
+def test_notices_work_out_their_entries_once(spark):
+    worked_out = spark.sparkContext.accumulator(0)
+
+    def entry(i):
+        worked_out.add(1)
+        return (f"g{i % 2}", i, None if i % 5 == 0 else f"t{i}")
+
+    # The shuffle before the range slices, which sample what they are given.
+    entries = spark.createDataFrame(spark.sparkContext.range(40, numSlices=2).map(entry), "g string, k int, t string").repartition(3)
+    found = {r["g"]: (r["entry_count"], r["notice"]) for r in notices(entries, "g", ["k"], F.col("t")).collect()}
+    assert found == {f"g{n}": (20, SEPARATOR.join(f"t{i}" for i in range(n, 40, 2) if i % 5)) for n in (0, 1)}
+    assert worked_out.value == 40
+
+
+def test_names_match_as_with_ilike(spark):
+    patterns = [*BLOCKED_PATTERNS, r"a\%b_", "x.y%", r"back\\slash", ""]
+    names = [
+        "PC_TMP1", "pcXtmp", "pct_1", "pcta", "pcst", "pcst_", "pcstx", "xx_", "xxy", "CC_a\nworkitem", "cc_workitem\n", "A%bc", "aXbc",
+        "x.yz", "xay", "back\\slash", "", "\n", "zpct_1", "bcst_\n", "pc_Workitem", None,
+    ]
+    frame = spark.createDataFrame([(n,) for n in names], "v string")
+    either = F.lit(False)
+    for pattern in patterns:
+        either = either | F.col("v").ilike(pattern)
+    rows = frame.select(matches_any(F.col("v"), patterns).alias("a"), either.alias("b")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows] and {r["a"] for r in rows} == {True, False, None}
+    assert not frame.where(matches_any(F.col("v"), [])).count()

@@ -154,3 +154,34 @@ def test_job_over_many_tables(spark):
     comparison, report = reconciliation_job(spark, merged, replica, manifest, listed, CTX, "MRG_PC")
     assert {r["table_name"]: r["id_beanversion_mismatches"] for r in comparison.collect()} == {"PC_1": 1, "PC_2": None}
     assert [(r["table_name"], r["exclusion_reason"]) for r in report.collect()] == [("PC_1", "ID_BEANVERSION_MISMATCHES")]
+
+
+@pytest.mark.parametrize("ranged_rows, ranged", [(1000, set()), (20, {"PC_1"}), (1, {"PC_1", "PC_2"})])
+def test_only_large_tables_are_compared_by_ranges(spark, monkeypatch, ranged_rows, ranged):
+    merged = [("PC_1", i, str(i % 5), "N") for i in range(30)] + [("pc_2", i * 10**6, "1", "N") for i in range(9)] + [("PC_2", None, "1", "N")]
+    replica = [("PC_1", i, str(i % 4)) for i in range(25)] + [("PC_2", i * 10**6, "1") for i in range(1, 9)] + [("PC_2", None, "2")]
+    merged, replica = spark.createDataFrame(merged, MERGED), spark.createDataFrame(replica, REPLICA)
+    columns = spark.createDataFrame(
+        [(t, c) for t in ("PC_1", "PC_2") for c in ("ID", "BEANVERSION")], "table_name string, column_name string"
+    )
+    manifest = spark.createDataFrame([], "table_name string, cda_schema_id string, cda_folder string, cda_folder_tms timestamp_ntz")
+    listed = spark.createDataFrame([], "table_name string")
+
+    def counts(rows):
+        return rows.groupBy(F.upper("table_name").alias("table_name")).count().withColumnRenamed("count", "row_count")
+
+    seen, digests = set(), rec.record_range_digests
+
+    def watched(left, right, width):
+        seen.update(r["table_name"].upper() for r in left.select("table_name").collect())
+        return digests(left, right, width)
+
+    monkeypatch.setattr(rec, "record_range_digests", watched)
+    monkeypatch.setattr(rec, "RANGED_ROWS", ranged_rows, raising=False)
+    final = rec.reconcile(
+        rec.columns_with_manifest(columns, manifest), counts(merged), rec.counts_with_columns(counts(replica), columns), listed,
+        merged, replica, CTX, "MRG_PC",
+    )
+    want = {"PC_1": sum(i >= 25 or i % 5 != i % 4 for i in range(30)), "PC_2": 3}
+    assert {r["table_name"]: r["id_beanversion_mismatches"] for r in final.collect()} == want
+    assert seen == ranged

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,9 +39,17 @@ TENANT_PATTERNS = {"MRG_PC": "PC%", "MRG_BC": "BC%", "MRG_CC": "CC%", "MRG_CM":
 HEARTBEAT = "heartbeat"
 
 
+def like_expression(pattern: str) -> str:
+    """A LIKE pattern as a regular expression; a backslash takes the next character as it is."""
+    wild = {"%": ".*", "_": "."}
+    tokens = re.findall(r"\\.|.", pattern, re.DOTALL)
+    return "".join(re.escape(t[1]) if len(t) > 1 else wild.get(t) or re.escape(t) for t in tokens)
+
+
 def matches_any(name: Column, patterns: Iterable[str] = BLOCKED_PATTERNS) -> Column:
-    """True where the name matches one of the patterns, ignoring case."""
-    return reduce(or_, [name.ilike(pattern) for pattern in patterns])
+    """True where the name matches one of the patterns, ignoring case: one expression, so that a name is read once."""
+    choices = "|".join(like_expression(pattern.lower()) for pattern in patterns) or "(?!)"
+    return F.lower(name).rlike(rf"(?s)\A(?:{choices})\z")
 
 
 def tenant_pattern(schema_name: Column) -> Column:

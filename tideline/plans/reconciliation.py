@@ -17,6 +17,8 @@ COMPARISON_KEY = ["batch_id", "schema_name", "table_name"]
 
 #: Whole-number ids in a range of the record digests.
 RANGE = 4096
+#: Rows of a table from which its records are compared by ranges.
+RANGED_ROWS = 16 * RANGE
 
 # Columns the load adds to a merged table.
 METADATA_COLUMNS = (
@@ -313,10 +315,17 @@ def reconcile(
 
     The comparison, one row per table, decides which records are read and takes their
     counts, so it is checkpointed between the two rather than worked out again for each.
+
+    Records of tables with fewer than `RANGED_ROWS` rows are joined at once: their ids may lie so far apart that every
+    record has a range to itself, and digests of many such tables would cost more than the join they save.
     """
     ensure_checkpoint_dir(mrg_counts.sparkSession)
     comparison = table_comparison(mrg_columns, mrg_counts, replica, listed, ctx, schema_name).checkpoint()
-    mismatches = record_mismatches(merged_rows, replica_rows, ctx, schema_name, comparison_candidates(comparison))
+    is_small = F.greatest(*[F.coalesce(c, F.lit(0)) for c in ("mrg_row_count", "replica_row_count")]) < RANGED_ROWS
+    small, large = (comparison_candidates(comparison.where(c)) for c in (is_small, ~is_small))
+    mismatches = record_mismatch_counts(record_comparison(merged_rows, replica_rows, ctx, schema_name, small))
+    if not large.isEmpty():
+        mismatches = mismatches.unionByName(record_mismatches(merged_rows, replica_rows, ctx, schema_name, large))
     return with_mismatches(comparison, mismatches)
 
 

@@ -17,15 +17,17 @@ PART = 1000
 LEADING = 1000
 
 
-def numbered(blocks: DataFrame, group: str, keys: Sequence[str]) -> DataFrame:
-    """The blocks with their 0-based `position` in their group, from sorted range slices and one count per group and slice."""
+def numbered(blocks: DataFrame, group: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The blocks with their 0-based `position` in their group, from sorted range slices and one count per group and slice,
+    and the number of entries per group. Null blocks, which come last in their group, are counted only."""
     spark = blocks.sparkSession
     ensure_checkpoint_dir(spark)
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Checkpointed, as counts and rows must come from the same slices.
+    order = [F.col(group), F.col("_b").isNull(), *map(F.col, keys)]
+    # Checkpointed, as counts and rows must come from the same slices; the entries are worked out once.
     sliced = (
-        blocks.repartitionByRange(slices, group, *keys)
-        .sortWithinPartitions(group, *keys)
+        blocks.repartitionByRange(slices, *order)
+        .sortWithinPartitions(*order)
         .withColumns({"_slice": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
         .checkpoint(eager=True)
     )
@@ -35,7 +37,9 @@ def numbered(blocks: DataFrame, group: str, keys: Sequence[str]) -> DataFrame:
     so_far = Window.partitionBy("_group").orderBy("_in")
     starts = sizes.withColumn("_start", F.sum("_n").over(so_far) - F.col("_n") - F.col("_first"))
     same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_slice") == F.col("_in"))
-    return sliced.join(starts, same).select(group, "_b", (F.col("_start") + F.col("_row")).alias("position"))
+    shown = sliced.where(F.col("_b").isNotNull())
+    placed = shown.join(starts, same).select(group, "_b", (F.col("_start") + F.col("_row")).alias("position"))
+    return placed, sizes.groupBy(F.col("_group").alias(group)).agg(F.sum("_n").alias("entry_count"))
 
 
 def joined(rows: DataFrame, by: Sequence[str], order: str, text: str) -> DataFrame:
@@ -63,21 +67,20 @@ def notices(
     keys = [*named, "_b"]
     # A null block shows nowhere, but counts as an entry.
     rows = entries.select(group, *[c.alias(n) for n, c in named.items()], block.alias("_b"))
-    shown = rows.where(F.col("_b").isNotNull())
     # Every block after the first has a separator before it, which bounds how many can show.
     leading = 0 if limit is None else max(limit, 0) // len(SEPARATOR) + 2
     if 0 < leading < LEADING:
         place = F.row_number().over(Window.partitionBy(group).orderBy(*keys))
-        placed = shown.withColumn("position", place).where(F.col("position") <= leading)
+        placed = rows.where(F.col("_b").isNotNull()).withColumn("position", place).where(F.col("position") <= leading)
+        counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("entry_count"))
     else:
-        placed = numbered(shown, group, keys)
+        placed, counts = numbered(rows, group, keys)
         placed = placed.where(F.col("position") < leading) if leading else placed
     placed = placed.withColumn("part_no", F.floor(F.col("position") / F.lit(PART)).cast("bigint"))
     by_part = joined(placed, [group, "part_no"], "position", "_b")
     if parts:
         return by_part
     whole = joined(by_part, [group], "part_no", "notice").select(F.col(group).alias("_group"), "notice")
-    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("entry_count"))
     text = F.coalesce(cut(F.col("notice"), limit), F.lit(""))
     return counts.join(whole, F.col(group).eqNullSafe(F.col("_group")), "left").select(group, "entry_count", text.alias("notice"))
 
